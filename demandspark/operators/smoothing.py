@@ -79,14 +79,17 @@ def ema(
 def _direct(df, outputs, partition_by, order_by, finish):
     w = Window.partitionBy(*partition_by).orderBy(*ascending(order_by))
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    numbered = df.withColumn("_n", F.row_number().over(w) - 1)
+    factors = list(dict.fromkeys(a for _, a in outputs.values()))
+    powers = {a: f"_p{i}" for i, a in enumerate(factors)}
+    numbered = df.withColumn("_n", F.row_number().over(w) - 1).withColumns(
+        {p: F.pow(F.lit(1.0 / a), F.col("_n")) for a, p in powers.items()}
+    )
     smoothed = {}
-    for out, (value, alpha) in outputs.items():
-        base = F.lit(1.0 / alpha)
-        weighted = F.sum(F.pow(base, F.col("_n")) * F.col(value)).over(so_far)
+    for out, (value, a) in outputs.items():
+        weighted = F.sum(F.col(powers[a]) * F.col(value)).over(so_far)
         first = F.first(value).over(so_far)
-        smoothed[out] = finish((weighted + first) / F.pow(base, F.col("_n") + 1))
-    return numbered.withColumns(smoothed).drop("_n")
+        smoothed[out] = finish((weighted + first) / (F.col(powers[a]) * F.lit(1.0 / a)))
+    return numbered.withColumns(smoothed).drop("_n", *powers.values())
 
 
 def _blocked(df, outputs, partition_by, order_by, finish):

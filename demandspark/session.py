@@ -20,6 +20,7 @@ def build_session(
         # A later operator may want the join's partitioning; splitting a hot key matters more.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master)
