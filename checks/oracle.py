@@ -269,10 +269,10 @@ SMOOTH_NAMES = {
 PROFILE_CTES = {
     **GRID_CTES,
     "slot_means": slot_means(True),
-    "trailing": TRAILING.format(source="slot_means"),
+    "trailing_rows": TRAILING.format(source="slot_means"),
     "smoothed": "SELECT *, "
     + ", ".join(f"{ema_sql(m, a, 'city_destination, observation_date')} AS {n}" for n, (m, a) in SMOOTH_NAMES.items())
-    + " FROM trailing",
+    + " FROM trailing_rows",
     "profile": "SELECT city_destination, observation_date, delivery_timestamp_dow, delivery_timestamp_h, "
     + ", ".join(f"AVG({n}) AS avg_{n}" for n in SMOOTH_NAMES)
     + " FROM smoothed GROUP BY 1, 2, 3, 4",

@@ -12,8 +12,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-TRIANGLES = "array<struct<a:int,b:int,c:int>>"
+TRIANGLES = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in "abc"]))
 _NOISE = 1e-14
 
 
