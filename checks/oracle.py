@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from checks.params import (
     CANCELLED_AFTER,
     DAILY_AS_OF,
@@ -71,22 +73,16 @@ def with_views(sql: str, ctes: dict[str, str] | None = None, recursive: bool = F
     text = sql + " ".join(ctes.values())
     used: list[str] = []
     for name in VIEWS:
-        if any(name in t for t in [text]) and _mentions(text, name):
+        if re.search(rf"\b{name}\b", text):
             used += [n for n in _NEEDS.get(name, []) if n not in used]
             if name not in used:
                 used.append(name)
     parts = [f"{n} AS MATERIALIZED ({VIEWS[n]})" for n in used]
-    parts += [f"{n} AS {'' if n == 'gj' else 'MATERIALIZED '}({t})" for n, t in ctes.items()]
+    parts += [f"{n} AS {'' if n.endswith('gj') else 'MATERIALIZED '}({t})" for n, t in ctes.items()]
     head = "WITH RECURSIVE " if recursive else "WITH "
     return (head + ",\n".join(parts) + "\n" if parts else "") + sql
 
 
-def _mentions(text: str, name: str) -> bool:
-    import re
-
-    return re.search(rf"\b{name}\b", text) is not None
-
-
 def ema_sql(value: str, alpha: float, part: str, seq: str = "seqnum") -> str:
     """Closed form over a numbered series, rounded as the library rounds."""
     w = f"OVER (PARTITION BY {part} ORDER BY {seq})"
