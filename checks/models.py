@@ -46,6 +46,8 @@ def expanding_sql(idx: str, n: str, k: int = 10) -> str:
 class Ols:
     """CTEs that fit least squares of ``rows`` per ``grp``; ``p`` prefixes their names.
 
+    A feature that does not vary in a group gets the coefficient 0.
+
     ``combine`` builds each training set from sums per ``grp``: a pair (list of tested folds,
     condition between r.grp and f.fold).
     """
@@ -87,7 +89,8 @@ class Ols:
 SELECT grp, 0 AS s, i, j, v FROM {p}a
 UNION ALL
 SELECT m.grp, m.s + 1, m.i, m.j,
- CASE WHEN m.i = m.s + 1 THEN r.v / d.v ELSE m.v - c.v * r.v / d.v END
+ CASE WHEN abs(d.v) < 1e-8 THEN CASE WHEN m.i = m.s + 1 THEN 0 ELSE m.v END
+  WHEN m.i = m.s + 1 THEN r.v / d.v ELSE m.v - c.v * r.v / d.v END
 FROM {p}gj m JOIN {p}gj d ON d.grp = m.grp AND d.i = m.s + 1 AND d.j = m.s + 1
 JOIN {p}gj r ON r.grp = m.grp AND r.i = m.s + 1 AND r.j = m.j
 JOIN {p}gj c ON c.grp = m.grp AND c.i = m.i AND c.j = m.s + 1
@@ -114,7 +117,7 @@ WHERE m.s < {last}"""
 
     def scale(self, i: int) -> str:
         """Population deviation of feature ``i`` on the training rows."""
-        return f"sqrt(g{i}_{i} / n - (g0_{i} / n) * (g0_{i} / n))"
+        return f"sqrt(greatest(g{i}_{i} / n - (g0_{i} / n) * (g0_{i} / n), 0))"
 
 
 METRIC_SQL = {
@@ -220,7 +223,7 @@ def _(spark, d):
     + ") t", {**small_rows(), **_SMALL_FIT.ctes()}))
 def _(spark, d):
     train, test = small_split(spark, d)
-    model = studies.pinned(linear.fit_ols(train, SMALL, TARGET))
+    model = linear.pinned(linear.fit_ols(train, SMALL, TARGET))
     scored = linear.predict(test, model, SMALL, nonneg="abs")
     scored = linear.predict(scored, model, SMALL, "y_rounded", nonneg="abs", rounding="even")
     return rounded(scored.select(*studies.DAILY_KEY, TARGET, "y_pred", "y_rounded"), ["y_pred"], 4)

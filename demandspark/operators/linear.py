@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 MODEL_FIELDS = "n_rows bigint, intercept double, coef array<double>, mean array<double>, scale array<double>"
 _CONSTANT = 1e-18  # variance below this share of the squared mean counts as none
+_CANCELLED = 1e-13  # likewise for the mean square around the centre it was summed about
 _RANK_CUT = 1e-12  # eigenvalues below this share of the largest count as zero
 
 
@@ -28,10 +29,11 @@ class Scaler:
     scale: tuple[float, ...]
 
 
-def column_means(df: DataFrame, cols: Sequence[str]) -> list[float]:
-    """Mean of each column, fetched as one row; 0 where there is none."""
-    row = df.agg(*[F.avg(c).alias(f"_{i}") for i, c in enumerate(cols)]).first()
-    return [float(v) if v is not None else 0.0 for v in row]
+def count_and_means(df: DataFrame, cols: Sequence[str]) -> tuple[int, list[float]]:
+    """Row count and mean of each column, fetched as one row; 0 where there is no mean."""
+    means = [F.avg(c).alias(f"_{i}") for i, c in enumerate(cols)]
+    n, *values = df.agg(F.count("*").alias("_n"), *means).first()
+    return n, [float(v) if v is not None else 0.0 for v in values]
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> Scaler:
@@ -62,42 +64,38 @@ def gram(
     centers: Sequence[float],
     group_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Row count, sums and sums of products of (features, target) around ``centers``.
+    """Sums of products of (1, features, target) around ``centers``, one matrix ``g`` per group.
 
-    One row per group: ``n``, ``s`` (p+1 sums) and ``g`` (upper triangle, row by row). The
-    sums are additive, so groups can be combined afterwards.
+    Row 0 holds the count and the plain sums. Each data row is repeated once per matrix row,
+    which keeps the aggregation narrow enough for compiled code; it is summed up before the
+    shuffle, so a group costs a few rows per task however large it is. Matrices add up, so
+    groups can be combined afterwards.
     """
-    cols = [*features, target]
-    z = df.select(
-        *group_by,
-        *[(F.col(c).cast("double") - F.lit(float(m))).alias(f"_z{i}") for i, (c, m) in enumerate(zip(cols, centers))],
-    )
-    sums = [F.sum(f"_z{i}").alias(f"_s{i}") for i in range(len(cols))]
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    products = [F.sum(F.col(f"_z{i}") * F.col(f"_z{j}")).alias(f"_g{i}_{j}") for i, j in pairs]
-    out = z.groupBy(*group_by).agg(F.count("*").alias("n"), *sums, *products)
-    return out.select(
-        *group_by,
-        "n",
-        F.array(*[F.col(f"_s{i}") for i in range(len(cols))]).alias("s"),
-        F.array(*[F.col(f"_g{i}_{j}") for i, j in pairs]).alias("g"),
+    shifted = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip([*features, target], centers)]
+    z = [f"_z{i}" for i in range(len(shifted) + 1)]
+    rows = df.select(*group_by, F.lit(1.0).alias(z[0]), *[c.alias(n) for n, c in zip(z[1:], shifted)])
+    repeated = rows.select(*group_by, *z, F.posexplode(F.array(*z)).alias("_i", "_x"))
+    lines = repeated.groupBy(*group_by, "_i").agg(
+        *[F.sum(F.col("_x") * F.col(n)).alias(f"_g{j}") for j, n in enumerate(z)]
     )
+    line = F.struct("_i", F.array(*[F.col(f"_g{j}") for j in range(len(z))]).alias("_g"))
+    matrix = F.array_sort(F.collect_list(line))
+    return lines.groupBy(*group_by).agg(F.transform(matrix, lambda r: r["_g"]).alias("g"))
 
 
 def solve(
-    n: float, s: np.ndarray, g: np.ndarray, centers: np.ndarray, standardize: bool = False
+    g: np.ndarray, centers: np.ndarray, standardize: bool = False
 ) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
     """(intercept, coef, mean, scale) of the minimum-norm least-squares fit."""
-    size = len(s)
-    full = np.zeros((size, size))
-    full[np.triu_indices(size)] = g
-    full = full + np.triu(full, 1).T
-    full = full - np.outer(s, s) / n
+    n, s = g[0, 0], g[0, 1:]
+    p = len(s) - 1
+    square = np.diag(g)[1:-1] / n
+    full = g[1:, 1:] - np.outer(s, s) / n
     means = centers + s / n
     var = np.diag(full)[:-1] / n
-    live = var > _CONSTANT * means[:-1] ** 2
+    live = var > _CONSTANT * means[:-1] ** 2 + _CANCELLED * square
     sd = np.where(live, np.sqrt(np.maximum(var, 0)), 1.0)
-    beta = np.zeros(size - 1)
+    beta = np.zeros(p)
     if live.any():
         d = sd[live]
         corr = full[:-1, :-1][np.ix_(live, live)] / n / np.outer(d, d)
@@ -114,7 +112,11 @@ def solve(
         beta[live] = scaled
     if standardize:
         return float(means[-1]), beta, means[:-1], sd
-    return float(means[-1] - beta @ means[:-1]), beta, np.zeros(size - 1), np.ones(size - 1)
+    return float(means[-1] - beta @ means[:-1]), beta, np.zeros(p), np.ones(p)
+
+
+def as_matrix(lines) -> np.ndarray:
+    return np.array([list(line) for line in lines])
 
 
 def fit_ols(
@@ -129,20 +131,17 @@ def fit_ols(
     With ``standardize`` the coefficients belong to (x - mean) / scale, learned on the same
     rows; the model row carries both arrays, so predicting needs the raw features only.
     """
-    centers = column_means(df, [*features, target])
+    _, centers = count_and_means(df, [*features, target])
     sums = gram(df, features, target, centers, group_by)
     keys = list(group_by)
     offsets = np.array(centers)
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch[batch["n"] > 0]
-            fits = [
-                solve(n, np.array(s), np.array(g), offsets, standardize)
-                for n, s, g in zip(batch["n"], batch["s"], batch["g"])
-            ]
+            matrices = [as_matrix(g) for g in batch["g"]]
+            fits = [solve(g, offsets, standardize) for g in matrices]
             out = batch[keys].copy()
-            out["n_rows"] = batch["n"]
+            out["n_rows"] = [int(g[0, 0]) for g in matrices]
             for i, name in enumerate(["intercept", "coef", "mean", "scale"]):
                 out[name] = pd.Series([f[i] for f in fits], index=batch.index, dtype=object)
             yield out.astype({"intercept": float})
@@ -211,6 +210,11 @@ def predict(
     return joined.withColumn(out, _finish(y, nonneg, rounding)).drop(*[f"_{f}" for f in fields])
 
 
+def pinned(model: DataFrame) -> DataFrame:
+    """Compute a one-row model now, so later uses do not read the data again."""
+    return model.sparkSession.createDataFrame(model.take(1), model.schema)
+
+
 def coef_table(model: DataFrame, features: Sequence[str]) -> DataFrame:
     """Feature, intercept and coefficient of one model."""
     names = F.array(*[F.lit(f) for f in features])

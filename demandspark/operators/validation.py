@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.operators.linear import MODEL_FIELDS, column_means, gram, predict, solve
+from demandspark.operators.linear import MODEL_FIELDS, as_matrix, count_and_means, gram, predict, solve
 from demandspark.operators.metrics import metric_columns
 from demandspark.operators.windows import Order, ranged_index
 
@@ -44,22 +44,17 @@ def _fold_models(
     rows: DataFrame,
     features: Sequence[str],
     target: str,
+    centers: Sequence[float],
     folds: Sequence[int],
     trains_on: Callable[[int, int], bool],
 ) -> DataFrame:
-    """One model per tested fold. At most k + 1 rows of sums reach the driver."""
-    centers = column_means(rows, [*features, target])
-    sums = {r["fold"]: r for r in gram(rows, features, target, centers, ["fold"]).collect()}
+    """One model per tested fold. At most k + 1 matrices reach the driver."""
+    sums = {r["fold"]: as_matrix(r["g"]) for r in gram(rows, features, target, centers, ["fold"]).collect()}
     offsets, models = np.array(centers), []
     for fold in folds:
-        used = [r for f, r in sums.items() if trains_on(f, fold)]
-        n = sum(r["n"] for r in used)
-        if not n:
-            raise ValueError(f"fold {fold} leaves no rows to train on")
-        s = np.sum([r["s"] for r in used], axis=0)
-        g = np.sum([r["g"] for r in used], axis=0)
-        intercept, coef, mean, scale = solve(n, s, g, offsets)
-        models.append((fold, int(n), intercept, coef.tolist(), mean.tolist(), scale.tolist()))
+        g = sum(m for f, m in sums.items() if trains_on(f, fold))
+        intercept, coef, mean, scale = solve(g, offsets)
+        models.append((fold, int(g[0, 0]), intercept, coef.tolist(), mean.tolist(), scale.tolist()))
     return rows.sparkSession.createDataFrame(models, f"fold int, {MODEL_FIELDS}")
 
 
@@ -89,11 +84,11 @@ def kfold_cv(
     ``numbered`` says that ``df`` already comes from ``numbered_rows``.
     """
     rows = df if numbered else numbered_rows(df, [*features, target], order_by)
-    n = rows.count()
-    if n < k:
+    n, centers = count_and_means(rows, [*features, target])
+    if n < max(k, 2):
         raise ValueError(f"{n} rows cannot fill {k} folds")
     rows = rows.withColumn("fold", kfold_number(F.col("_idx"), n, k))
-    models = _fold_models(rows, features, target, range(k), lambda f, tested: f != tested)
+    models = _fold_models(rows, features, target, centers, range(k), lambda f, tested: f != tested)
     return _scored(rows, models, features, target, metrics)
 
 
@@ -108,11 +103,13 @@ def expanding_cv(
 ) -> DataFrame:
     """Scores and coefficients of k equal test blocks, each trained on all rows before it."""
     rows = df if numbered else numbered_rows(df, [*features, target], order_by)
-    n = rows.count()
+    n, centers = count_and_means(rows, [*features, target])
     if n < k + 1:
         raise ValueError(f"{n} rows cannot fill {k + 1} blocks")
     rows = rows.withColumn("fold", expanding_number(F.col("_idx"), n, k))
-    models = _fold_models(rows, features, target, range(1, k + 1), lambda f, tested: f < tested)
+    models = _fold_models(
+        rows, features, target, centers, range(1, k + 1), lambda f, tested: f < tested
+    )
     return _scored(rows.filter("fold > 0"), models, features, target, metrics)
 
 

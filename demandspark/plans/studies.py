@@ -23,10 +23,11 @@ from demandspark.operators.linear import (
     fit_ols,
     fit_ols_by,
     importance_table,
+    pinned,
     predict,
 )
 from demandspark.operators.metrics import regression_metrics
-from demandspark.operators.split import hash_split
+from demandspark.operators.split import hash_split, test_bucket
 from demandspark.operators.validation import expanding_cv, fold_means, kfold_cv, numbered_rows
 
 PREDICTION = "total_booked_cancelation_prediction"
@@ -59,6 +60,9 @@ HOURLY_KEY = ["forecast_id"]
 HOURLY_ORDER = ["booked_start_at_local", "lead_time", "city_destination"]
 
 
+TEST_SHARE = 20
+
+
 @dataclass(frozen=True)
 class Study:
     """What a study fits and how it scores."""
@@ -124,11 +128,6 @@ def hourly_rows(training: DataFrame) -> DataFrame:
     return zero_nonfinite(cyclical(training, HOURLY_WAVES))
 
 
-def pinned(model: DataFrame) -> DataFrame:
-    """Compute a one-row model now, so later uses do not read the data again."""
-    return model.sparkSession.createDataFrame(model.take(1), model.schema)
-
-
 def _tall(df: DataFrame, section: str, metrics: Sequence[str], item: str | None = None) -> DataFrame:
     values = F.array(
         *[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
@@ -160,9 +159,12 @@ def run_study(
     hold-out model when they differ.
     """
     fold_features = list(plan.fold_features or plan.features)
-    needed = [*plan.key, *plan.features, plan.incumbent, plan.target]
-    numbered = numbered_rows(rows, needed, plan.order_by)
-    train, test = hash_split(numbered if model_rows is None else model_rows, plan.key)
+    marked = rows.withColumn("_bucket", test_bucket(plan.key))
+    needed = [*plan.features, plan.incumbent, plan.target, "_bucket"]
+    is_test = F.col("_bucket") < TEST_SHARE
+    numbered = numbered_rows(marked, needed, plan.order_by)
+    bench_train, bench_test = numbered.filter(~is_test), numbered.filter(is_test)
+    train, test = (bench_train, bench_test) if model_rows is None else hash_split(model_rows, plan.key)
 
     model = pinned(fit_ols(train, plan.features, plan.target, standardize=plan.standardize))
     predicted = predict(test, model, plan.features, nonneg=plan.nonneg)
@@ -171,7 +173,6 @@ def run_study(
         _tall(coef_table(model, plan.features), "coefficients", ["intercept", "coef"], "feature"),
     ]
 
-    bench_train, bench_test = hash_split(numbered, plan.key)
     bench = pinned(fit_ols(bench_train, [plan.incumbent], plan.target))
     predicted = predict(bench_test, bench, [plan.incumbent], nonneg=plan.nonneg)
     parts.append(
@@ -193,6 +194,8 @@ def run_study(
         scores = run(
             numbered, fold_features, plan.target, plan.order_by, plan.folds, metrics, numbered=True
         )
+        # One row per fold, shown in two or three parts of the report.
+        scores = scores.sparkSession.createDataFrame(scores.collect(), scores.schema)
         means = fold_means(scores, metrics)
         parts.append(_tall(scores, section, metrics, "fold"))
         parts.append(_tall(means, section, [f"mean_{m}" for m in metrics]))
