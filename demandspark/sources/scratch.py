@@ -16,14 +16,14 @@ _SETTING = "spark.checkpoint.dir"
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``; a temp folder only in local mode."""
-    root = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="demandspark-")
-    spark.conf.set(_SETTING, root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="demandspark-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
