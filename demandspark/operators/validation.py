@@ -6,7 +6,7 @@ and every training set's sums are combinations of them, so no fold is read again
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -40,21 +40,37 @@ def numbered_rows(df: DataFrame, cols: Sequence[str], order_by: Sequence[Order])
     return ranged_index(df.select(*dict.fromkeys([*named, *cols])), order_by, out="_idx")
 
 
-def _fold_models(
-    rows: DataFrame,
-    features: Sequence[str],
-    target: str,
+def fold_models(
+    sums: Mapping[int, np.ndarray],
     centers: Sequence[float],
     folds: Sequence[int],
     trains_on: Callable[[int, int], bool],
-) -> DataFrame:
-    """One model per tested fold. At most k + 1 matrices reach the driver."""
-    sums = {r["fold"]: as_matrix(r["g"]) for r in gram(rows, features, target, centers, ["fold"]).collect()}
-    offsets, models = np.array(centers), []
+) -> list[tuple[int, int, float, list[float]]]:
+    """(fold, rows, intercept, coef) per tested fold, from the product sums of each fold."""
+    models = []
     for fold in folds:
         g = sum(m for f, m in sums.items() if trains_on(f, fold))
-        intercept, coef, mean, scale = solve(g, offsets)
-        models.append((fold, int(g[0, 0]), intercept, coef.tolist(), mean.tolist(), scale.tolist()))
+        intercept, coef, _, _ = solve(g, np.array(centers))
+        models.append((fold, int(g[0, 0]), intercept, coef.tolist()))
+    return models
+
+
+def other_folds(fold: int, tested: int) -> bool:
+    return fold != tested
+
+
+def earlier_folds(fold: int, tested: int) -> bool:
+    return fold < tested
+
+
+def _models_of(rows, features, target, centers, folds, trains_on) -> DataFrame:
+    # At most k + 1 matrices reach the driver.
+    lines = gram(rows, features, target, centers, ["fold"]).collect()
+    sums = {r["fold"]: as_matrix(r["g"]) for r in lines}
+    p = len(features)
+    models = [
+        (*model, [0.0] * p, [1.0] * p) for model in fold_models(sums, centers, folds, trains_on)
+    ]
     return rows.sparkSession.createDataFrame(models, f"fold int, {MODEL_FIELDS}")
 
 
@@ -88,7 +104,7 @@ def kfold_cv(
     if n < max(k, 2):
         raise ValueError(f"{n} rows cannot fill {k} folds")
     rows = rows.withColumn("fold", kfold_number(F.col("_idx"), n, k))
-    models = _fold_models(rows, features, target, centers, range(k), lambda f, tested: f != tested)
+    models = _models_of(rows, features, target, centers, range(k), other_folds)
     return _scored(rows, models, features, target, metrics)
 
 
@@ -107,9 +123,7 @@ def expanding_cv(
     if n < k + 1:
         raise ValueError(f"{n} rows cannot fill {k + 1} blocks")
     rows = rows.withColumn("fold", expanding_number(F.col("_idx"), n, k))
-    models = _fold_models(
-        rows, features, target, centers, range(1, k + 1), lambda f, tested: f < tested
-    )
+    models = _models_of(rows, features, target, centers, range(1, k + 1), earlier_folds)
     return _scored(rows.filter("fold > 0"), models, features, target, metrics)
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.scalars import (
@@ -19,16 +20,23 @@ from demandspark.functions.scalars import (
     zero_nonfinite,
 )
 from demandspark.operators.linear import (
-    coef_table,
+    as_matrix,
+    count_and_means,
     fit_ols,
     fit_ols_by,
-    importance_table,
-    pinned,
-    predict,
+    gram,
+    solve,
 )
-from demandspark.operators.metrics import regression_metrics
+from demandspark.operators.metrics import metric_columns
 from demandspark.operators.split import hash_split, test_bucket
-from demandspark.operators.validation import expanding_cv, fold_means, kfold_cv, numbered_rows
+from demandspark.operators.validation import (
+    earlier_folds,
+    expanding_number,
+    fold_models,
+    kfold_number,
+    numbered_rows,
+    other_folds,
+)
 
 PREDICTION = "total_booked_cancelation_prediction"
 
@@ -128,24 +136,52 @@ def hourly_rows(training: DataFrame) -> DataFrame:
     return zero_nonfinite(cyclical(training, HOURLY_WAVES))
 
 
-def _tall(df: DataFrame, section: str, metrics: Sequence[str], item: str | None = None) -> DataFrame:
-    values = F.array(
-        *[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
-    )
-    label = F.col(item).cast("string") if item else F.lit("")
-    return df.select(
-        F.lit(section).alias("section"), label.alias("item"), F.inline(values).alias("metric", "value")
+def _by_fold(fold: str, values: Sequence[float]) -> Column:
+    """The value of a row's fold, from a short list of constants."""
+    return F.get(F.array(*[F.lit(v) for v in values]), F.col(fold))
+
+
+def _fold_prediction(fold: str, models: Sequence[tuple], features: Sequence[str], first: int) -> Column:
+    """Prediction of each row by the model that was not trained on it."""
+    pad = [0.0] * first
+    y = _by_fold(fold, [*pad, *[m[2] for m in models]])
+    for i, c in enumerate(features):
+        y = y + _by_fold(fold, [*pad, *[m[3][i] for m in models]]) * F.col(c)
+    return y
+
+
+def _fitted_prediction(model: Sequence, features: Sequence[str], nonneg: str | None) -> Column:
+    intercept, coef, mean, scale = model
+    y = F.lit(float(intercept))
+    for c, b, m, s in zip(features, coef, mean, scale):
+        y = y + F.lit(float(b)) * ((F.col(c) - F.lit(float(m))) / F.lit(float(s)))
+    return F.abs(y) if nonneg == "abs" else y
+
+
+def _scores(rows: DataFrame, target: str, predictions: Sequence[Column]) -> dict[tuple[str, str], dict]:
+    """All scores of all sections in one pass: (section, item) -> scores.
+
+    A prediction is a struct (section, item, y_pred, positive) or NULL where it does not apply;
+    ``positive`` repeats it for the deviance where a section asks for that.
+    """
+    one = rows.select(F.col(target).alias("_y"), F.explode(F.array(*predictions)).alias("_p"))
+    flat = one.filter(F.col("_p").isNotNull()).select("_y", "_p.*")
+    scored = flat.groupBy("section", "item").agg(
+        *metric_columns("_y", "y_pred", ["mse", "rmse", "mae", "r2"]),
+        *metric_columns("_y", "positive", ["poisson"]),
     )
+    # One row per section and fold.
+    return {(r["section"], r["item"]): r.asDict() for r in scored.collect()}
 
 
-def _coefficients_by_fold(scores: DataFrame, features: Sequence[str], section: str) -> DataFrame:
-    names = F.array(*[F.lit(f) for f in features])
-    return scores.select("fold", F.posexplode("coef").alias("_i", "value")).select(
+def _prediction(section: str, y: Column, metrics: Sequence[str], item: Column | None = None, when: Column | None = None) -> Column:
+    packed = F.struct(
         F.lit(section).alias("section"),
-        F.col("fold").cast("string").alias("item"),
-        F.get(names, F.col("_i")).alias("metric"),
-        "value",
+        (F.lit("") if item is None else item.cast("string")).alias("item"),
+        y.cast("double").alias("y_pred"),
+        (y if "poisson" in metrics else F.lit(None)).cast("double").alias("positive"),
     )
+    return packed if when is None else F.when(when, packed)
 
 
 def run_study(
@@ -155,57 +191,102 @@ def run_study(
 ) -> DataFrame:
     """Full report of one study.
 
-    ``rows`` feed the folds, the benchmark and the incumbent's score; ``model_rows`` feed the
-    hold-out model when they differ.
+    Three passes over the numbered rows serve every model: means, product sums per fold,
+    block and side of the split, and scores. The driver sees a few small matrices and one row
+    of scores per fold. ``model_rows`` feed the hold-out model when they differ from ``rows``.
     """
+    columns = list(dict.fromkeys([*plan.features, plan.incumbent]))
     fold_features = list(plan.fold_features or plan.features)
-    marked = rows.withColumn("_bucket", test_bucket(plan.key))
-    needed = [*plan.features, plan.incumbent, plan.target, "_bucket"]
-    is_test = F.col("_bucket") < TEST_SHARE
-    numbered = numbered_rows(marked, needed, plan.order_by)
-    bench_train, bench_test = numbered.filter(~is_test), numbered.filter(is_test)
-    train, test = (bench_train, bench_test) if model_rows is None else hash_split(model_rows, plan.key)
-
-    model = pinned(fit_ols(train, plan.features, plan.target, standardize=plan.standardize))
-    predicted = predict(test, model, plan.features, nonneg=plan.nonneg)
-    parts = [
-        _tall(regression_metrics(predicted, plan.target, "y_pred", plan.holdout), "holdout", plan.holdout),
-        _tall(coef_table(model, plan.features), "coefficients", ["intercept", "coef"], "feature"),
+    k, direct = plan.folds, ("rmse", "mae", "r2")
+    marked = rows.withColumn("_test", test_bucket(plan.key) < TEST_SHARE)
+    numbered = numbered_rows(marked, [*columns, plan.target, "_test"], plan.order_by)
+    n, centers = count_and_means(numbered, [*columns, plan.target])
+    if n < k + 1:
+        raise ValueError(f"{n} rows cannot fill {k + 1} blocks")
+    numbered = numbered.withColumns(
+        {
+            "_kfold": kfold_number(F.col("_idx"), n, k),
+            "_block": expanding_number(F.col("_idx"), n, k),
+        }
+    )
+    sums = [
+        (r["_kfold"], r["_block"], r["_test"], as_matrix(r["g"]))
+        for r in gram(numbered, columns, plan.target, centers, ["_kfold", "_block", "_test"]).collect()
     ]
 
-    bench = pinned(fit_ols(bench_train, [plan.incumbent], plan.target))
-    predicted = predict(bench_test, bench, [plan.incumbent], nonneg=plan.nonneg)
-    parts.append(
-        _tall(regression_metrics(predicted, plan.target, "y_pred", plan.holdout), "benchmark", plan.holdout)
-    )
-    # The first study lists the importance of the model it fitted last, the benchmark.
-    shown, names = (bench, [plan.incumbent]) if plan.fold_features else (model, plan.features)
-    parts.append(_tall(importance_table(shown, names), "importance", ["importance"], "feature"))
+    def chosen(features: Sequence[str]) -> list[int]:
+        return [0, *[1 + columns.index(f) for f in features], len(columns) + 1]
+
+    def part(features, keep) -> np.ndarray:
+        at = chosen(features)
+        return sum((g for *key, g in sums if keep(*key)), np.zeros_like(sums[0][3]))[np.ix_(at, at)]
+
+    def center(features) -> np.ndarray:
+        return np.array([centers[i - 1] for i in chosen(features)[1:]])
+
+    train = (lambda kf, bl, test: not test)
+    if model_rows is None:
+        model = solve(part(plan.features, train), center(plan.features), plan.standardize)
+    else:
+        model_train, model_test = hash_split(model_rows, plan.key)
+        row = fit_ols(model_train, plan.features, plan.target, standardize=plan.standardize).first()
+        model = (row["intercept"], row["coef"], row["mean"], row["scale"])
+    bench = solve(part([plan.incumbent], train), center([plan.incumbent]))
+    by_fold = {f: part(fold_features, lambda kf, bl, test, f=f: kf == f) for f in range(k)}
+    by_block = {b: part(fold_features, lambda kf, bl, test, b=b: bl == b) for b in range(k + 1)}
+    kfold = fold_models(by_fold, center(fold_features), range(k), other_folds)
+    expanding = fold_models(by_block, center(fold_features), range(1, k + 1), earlier_folds)
+
+    is_test = F.col("_test")
+    fitted = _fitted_prediction(model, plan.features, plan.nonneg)
+    predictions = [
+        _prediction(
+            "benchmark", _fitted_prediction(bench, [plan.incumbent], plan.nonneg), plan.holdout, when=is_test
+        ),
+        _prediction(
+            "kfold", _fold_prediction("_kfold", kfold, fold_features, 0), plan.kfold, F.col("_kfold")
+        ),
+        _prediction(
+            "expanding",
+            _fold_prediction("_block", expanding, fold_features, 1),
+            plan.expanding,
+            F.col("_block"),
+            F.col("_block") > 0,
+        ),
+    ]
     if plan.scores_incumbent:
-        direct = ["rmse", "mae", "r2"]
-        parts.append(
-            _tall(regression_metrics(bench_test, plan.target, plan.incumbent, direct), "incumbent", direct)
-        )
-
-    for section, run, metrics in (
-        ("kfold", kfold_cv, plan.kfold),
-        ("expanding", expanding_cv, plan.expanding),
-    ):
-        scores = run(
-            numbered, fold_features, plan.target, plan.order_by, plan.folds, metrics, numbered=True
-        )
-        # One row per fold, shown in two or three parts of the report.
-        scores = scores.sparkSession.createDataFrame(scores.collect(), scores.schema)
-        means = fold_means(scores, metrics)
-        parts.append(_tall(scores, section, metrics, "fold"))
-        parts.append(_tall(means, section, [f"mean_{m}" for m in metrics]))
-        if section == "expanding":
-            parts.append(_coefficients_by_fold(scores, fold_features, "expanding_coefficients"))
-
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+        predictions.append(_prediction("incumbent", F.col(plan.incumbent), direct, when=is_test))
+    holdout = _prediction("holdout", fitted, plan.holdout)
+    if model_rows is None:
+        predictions.append(F.when(is_test, holdout))
+    scores = _scores(numbered, plan.target, predictions)
+    if model_rows is not None:
+        scores |= _scores(model_test, plan.target, [holdout])
+
+    shown, coef, intercept = plan.features, model[1], float(model[0])
+    report = [("coefficients", f, "intercept", intercept) for f in shown]
+    report += [("coefficients", f, "coef", float(b)) for f, b in zip(shown, coef)]
+    if plan.fold_features:
+        # This study lists the importance of the model it fitted last, the benchmark.
+        shown, coef = [plan.incumbent], bench[1]
+    report += [("importance", f, "importance", abs(float(b))) for f, b in zip(shown, coef)]
+    wanted = {
+        "holdout": plan.holdout,
+        "benchmark": plan.holdout,
+        "incumbent": direct,
+        "kfold": plan.kfold,
+        "expanding": plan.expanding,
+    }
+    for (section, item), row in scores.items():
+        report += [(section, item, m, row[m]) for m in wanted[section]]
+    for section in ("kfold", "expanding"):
+        for m in wanted[section]:
+            values = [row[m] for (name, _), row in scores.items() if name == section]
+            report.append((section, "", f"mean_{m}", float(np.mean(values))))
+    for fold, _, _, values in expanding:
+        report += [("expanding_coefficients", str(fold), f, v) for f, v in zip(fold_features, values)]
+    fields = "section string, item string, metric string, value double"
+    return rows.sparkSession.createDataFrame(report, fields)
 
 
 def first_daily_study(training: DataFrame) -> DataFrame:
