@@ -22,7 +22,6 @@ from demandspark.operators.windows import (
     Order,
     ascending,
     fits_window,
-    null_safe_join,
     ranged_index,
 )
 
@@ -137,16 +136,22 @@ def _blocked(df, outputs, partition_by, order_by, finish):
         .groupBy(*keys, "_blk")
         .agg(*[F.sum(f"_end_{out}").alias(f"_in_{out}") for out in outputs])
     )
-    within = (
-        Window.partitionBy(*keys, "_blk")
-        .orderBy("_seq")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    # What comes in joins its block as one more row, ahead of the others, so the rows are
+    # shuffled once and NULL keys need no care.
+    block_rows = Window.partitionBy(*keys, "_blk")
+    within = block_rows.orderBy(F.col("_seq").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, 0
     )
     local = {
         f"_local_{out}": F.sum(weighted(v, a)).over(within) / F.pow(F.lit(1.0 / a), F.col("_r") + 1)
         for out, (v, a) in outputs.items()
     }
-    joined = null_safe_join(numbered.withColumns(local), carried, [*keys, "_blk"], "left")
+    incoming = {f"_in_{out}": F.max(f"_in_{out}").over(within) for out in outputs}
+    joined = (
+        numbered.unionByName(carried, allowMissingColumns=True)
+        .withColumns({**local, **incoming})
+        .filter(F.col("_seq").isNotNull())
+    )
     smoothed = {}
     for out, (v, a) in outputs.items():
         carry = F.coalesce(F.col(f"_in_{out}"), F.lit(0.0)) * F.pow(F.lit(a), F.col("_r") + 1)

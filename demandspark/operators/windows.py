@@ -80,18 +80,20 @@ def _numbered(
         F.count("*").alias("_count"), F.min("_pos").alias("_start"), *firsts
     )
     if not partition_by:
-        offsets, seen, first_row = {}, 0, None
+        before, seen, first_row = [], 0, None
         for row in runs.orderBy("_slice").toLocalIterator():
-            offsets[row["_slice"]] = seen
+            before.append((row["_slice"], seen))
             seen += row["_count"]
             first_row = first_row or row
-        width = max(offsets, default=-1) + 1
-        starts = F.array(*[F.lit(offsets.get(i, 0)).cast("bigint") for i in range(width)])
-        numbered = sliced.withColumn(out, F.get(starts, F.col("_slice").cast("int")) + F.col("_pos"))
+        # One row per slice, that is per write task.
+        starts = sliced.sparkSession.createDataFrame(before, "_slice bigint, _shift bigint")
+        numbered = sliced.join(F.broadcast(starts), "_slice").withColumn(
+            out, F.col("_pos") + F.col("_shift")
+        )
         for c in first_of:
             kept = None if first_row is None else first_row[f"_first_{c}"]
             numbered = numbered.withColumn(f"_first_{c}", F.lit(kept).cast(sliced.schema[c].dataType))
-        return numbered.drop("_slice", "_pos")
+        return numbered.drop("_slice", "_pos", "_shift")
     by_slice = Window.partitionBy(*partition_by).orderBy("_slice")
     earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumns(
