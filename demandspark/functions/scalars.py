@@ -22,6 +22,11 @@ def date_lit(value: dt.date | str) -> Column:
     return F.lit(str(value)).cast("date")
 
 
+def whole_div(col: Column | str, by: int) -> Column:
+    """Integer quotient, exact for any bigint."""
+    return F.call_function("div", as_column(col), F.lit(by))
+
+
 def iso_weekday(col: Column | str) -> Column:
     """Monday = 1 ... Sunday = 7."""
     return F.weekday(as_column(col)) + 1

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandspark.functions.scalars import before, date_lit, iso_weekday
+from demandspark.functions.scalars import before, date_lit, iso_weekday, whole_div
 from demandspark.operators.aggregates import distinct_count_by, mean_by
 from demandspark.operators.joins import window_expand
 from demandspark.operators.series import first_day, hour_series, with_series
@@ -19,7 +19,6 @@ from demandspark.operators.windows import block_rolling_means, ranged_index
 SLOT_WINDOWS = {"rolling_dh_avg2": 2, "rolling_dh_avg4": 4}
 WEEKDAY_WINDOWS = {"rolling_d_avg7": 168, "rolling_d_avg14": 336}
 HOURS_PER_DAY = 24
-HOURS_PER_WEEK = 168
 
 
 def hourly_counts(rides: DataFrame, as_of: dt.date | str) -> DataFrame:
@@ -77,7 +76,7 @@ def slot_rolling_means(
     n_cities = cities.count()
     start = first_day(as_of, months)
     day_no = F.datediff(F.to_date("delivery_timestamp"), start)
-    week_no = F.floor(day_no / F.lit(7))
+    week_no = whole_div(day_no, 7)
     placed = (
         grid.join(cities, "city_destination")
         .withColumn("_slot_pos", (week_no * n_cities + F.col("_rank")).cast("bigint"))

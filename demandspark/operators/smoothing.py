@@ -16,7 +16,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandspark.functions.scalars import half_up
+from demandspark.functions.scalars import half_up, whole_div
 from demandspark.operators.windows import (
     GROUP_LIMIT,
     Order,
@@ -106,7 +106,7 @@ def _blocked(df, outputs, partition_by, order_by, finish):
     # The first value counts twice: once as x_0 and once as the start of the recurrence.
     numbered = ranged_index(df, order_by, keys, "_seq", values).withColumns(
         {
-            "_blk": F.floor(F.col("_seq") / F.lit(block)).cast("bigint"),
+            "_blk": whole_div("_seq", block),
             "_r": F.col("_seq") % F.lit(block),
             **{
                 f"_x_{v}": F.col(v).cast("double")

@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandspark.functions.scalars import whole_div
 from demandspark.operators.linear import MODEL_FIELDS, as_matrix, count_and_means, gram, predict, solve
 from demandspark.operators.metrics import metric_columns
 from demandspark.operators.windows import Order, ranged_index
@@ -21,8 +22,8 @@ def kfold_number(idx: Column, n: int, k: int) -> Column:
     """Fold 0..k-1 of a row index; the first ``n mod k`` folds have one row more."""
     size, longer = divmod(n, k)
     head = longer * (size + 1)
-    tail = F.lit(longer) + F.floor((idx - F.lit(head)) / F.lit(max(size, 1)))
-    return F.when(idx < head, F.floor(idx / F.lit(size + 1))).otherwise(tail).cast("int")
+    tail = F.lit(longer) + whole_div(idx - F.lit(head), max(size, 1))
+    return F.when(idx < head, whole_div(idx, size + 1)).otherwise(tail).cast("int")
 
 
 def expanding_number(idx: Column, n: int, k: int) -> Column:
@@ -30,7 +31,7 @@ def expanding_number(idx: Column, n: int, k: int) -> Column:
     before it."""
     size = n // (k + 1)
     head = n - k * size
-    later = F.lit(1) + F.floor((idx - F.lit(head)) / F.lit(max(size, 1)))
+    later = F.lit(1) + whole_div(idx - F.lit(head), max(size, 1))
     return F.when(idx < head, F.lit(0)).otherwise(later).cast("int")
 
 

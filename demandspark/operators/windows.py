@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandspark.functions.scalars import whole_div
 from demandspark.sources.scratch import materialize
 
 GROUP_LIMIT = 1_000_000
@@ -140,7 +141,7 @@ def with_halo(df: DataFrame, seq: str, preceding: int, block: int) -> DataFrame:
     """
     if block < preceding:
         raise ValueError("block must be at least as long as the frame")
-    own = F.floor(F.col(seq) / F.lit(block)).cast("bigint")
+    own = whole_div(seq, block)
     near_end = F.col(seq) % F.lit(block) >= F.lit(block - preceding)
     blocks = F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))
     return df.withColumn("_block", F.explode(blocks)).withColumn("_halo", F.col("_block") != own)
