@@ -55,10 +55,16 @@ def in_slices(
 ) -> DataFrame:
     """Sort by range across the cluster and store each row's slice and place in it.
 
-    The result is read back from a written table, so slices and places never change.
+    Rows with equal sort keys are told apart by a hash of their content, so a hot key cannot
+    fill one slice; a random number would move rows when a lost stage is computed again. The
+    result is read back from a written table, so slices and places never change.
     """
-    placed = df.orderBy(*ascending(partition_by), *ascending(order_by)).withColumn(
-        "_place", F.monotonically_increasing_id()
+    hashed = [f.name for f in df.schema if not f.dataType.simpleString().startswith(("map", "variant"))]
+    placed = (
+        df.withColumn("_tie", F.xxhash64(*hashed))
+        .orderBy(*ascending(partition_by), *ascending(order_by), "_tie")
+        .drop("_tie")
+        .withColumn("_place", F.monotonically_increasing_id())
     )
     placed = materialize(placed, "ordered")
     return placed.select(

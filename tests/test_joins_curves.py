@@ -105,6 +105,12 @@ def test_top_booker_tie_goes_to_first_name(spark):
     assert {r["booker"] for r in curves.top_booker(curve).collect()} == {"beta"}
 
 
+def test_smoothing_key_is_unique_in_the_stand_in(spark, folder):
+    past = standins.past_forecasts(spark, folder)
+    keys = ["city_destination", "observation_date", "delivery_date"]
+    assert past.groupBy(*keys).count().filter("count > 1").count() == 0
+
+
 def test_series_ends_are_included(spark):
     one = spark.createDataFrame([(1,)], "x int")
     assert series.with_series(one, series.day_series("2024-02-29", 12), "d").agg(F.min("d"), F.count("*")).first()[:] == (D(2023, 2, 28), 367)

@@ -5,6 +5,14 @@ from pyspark.sql import functions as F
 from demandspark.operators import linear, metrics, split, validation
 
 
+@pytest.fixture(autouse=True)
+def many_slices(spark):
+    """Small data would be merged into one slice; keep the slices apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def frame(spark, x, y, **extra):
     names = [f"x{i}" for i in range(x.shape[1])]
     cols = [x[:, i].tolist() for i in range(x.shape[1])] + [y.tolist()] + [np.asarray(v).tolist() for v in extra.values()]

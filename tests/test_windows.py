@@ -8,6 +8,14 @@ from demandspark.operators import windows as W
 from demandspark.operators.smoothing import direct_limit, ema, ema_grid
 
 
+@pytest.fixture(autouse=True)
+def many_slices(spark):
+    """Small data would be merged into one slice; keep the slices apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def rows_of(df, *cols):
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
@@ -33,6 +41,16 @@ def test_global_row_numbers(skewed):
     assert [r["seqnum"] for r in got] == list(range(973))
 
 
+def test_equal_sort_keys_are_spread(spark):
+    """All rows share one sort key; they must still fill several slices."""
+    df = spark.range(0, 20000, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("t"), F.col("id").alias("v"))
+    sliced = W.in_slices(df, ["k"], ["t"])
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 20000 and max(sizes) < 10000
+    numbered = W.ranged_index(df, ["t"], ["k"])
+    assert numbered.agg(F.count_distinct("seqnum"), F.max("seqnum")).first()[:] == (20000, 19999)
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "k string, t int, v double")
     assert W.ranged_index(empty, ["t"]).count() == 0
