@@ -3,6 +3,8 @@
 import pytest
 
 from checks.registry import QUERIES
+from demandspark.operators import windows
+from demandspark.operators.smoothing import ema
 from demandspark.sources import scratch, standins, tables
 
 PLANS = [
@@ -26,6 +28,26 @@ def test_no_single_partition_and_no_nested_loop(spark, folder, name):
         assert bad not in plan
 
 
+def test_ranged_plans_have_no_single_task_step(spark, folder):
+    past = standins.past_forecasts(spark, folder).select(
+        "city_destination", "delivery_date", "lead_time", "total_booked_cancelation_prediction"
+    )
+    city, value = ["city_destination"], "total_booked_cancelation_prediction"
+    order = ["delivery_date", "lead_time"]
+    plans = [
+        windows.seq_num(past, city, order, strategy="ranged"),
+        windows.rolling_mean(past, value, order, 6, city, strategy="ranged"),
+        windows.running_sum(past, value, city, "delivery_date", strategy="ranged"),
+        windows.prev_edge(past, "lead_time", city, strategy="ranged"),
+        ema(past, value, 0.5, city, order, strategy="ranged"),
+        windows.ranged_index(past, order),
+    ]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for bad in ("SinglePartition", "NestedLoop", "CartesianProduct"):
+            assert bad not in plan
+
+
 def test_cutoff_reaches_below_the_windows(spark, folder):
     plan = QUERIES["five_factor_training_set"][0](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Window") < plan.index("Filter")
