@@ -12,18 +12,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a temp folder only in local mode."""
+    """Shared folder named by ``spark.checkpoint.dir``; where it is unset, a temp folder in local mode only."""
     context = spark.sparkContext
     root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if root:
         return root
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="demandspark-"))
-    return context.getCheckpointDir()
+    app = context.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="demandspark-")
+    return _LOCAL[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -34,7 +37,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet and return a scan of it (column pruning stays possible)."""
+    return stored(df, label)[0]
+
+
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``materialize``, with the path, so that ``delete`` can end the table's life."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Remove written tables that nothing reads any more, in whatever store they are."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
