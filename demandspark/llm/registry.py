@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from demandspark.llm.op1_simhash import op1_simhash
+from demandspark.llm.op10_quality import op10_quality
 from demandspark.llm.op7_packing import op7_packing
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_simhash": (op1_simhash, None),
     "op7_packing": (op7_packing, None),
+    "op10_quality": (op10_quality, None),
 }
