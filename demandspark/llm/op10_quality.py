@@ -15,11 +15,13 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ EPOCHS = 4
 RATE = 0.6
 THRESHOLD = 0.3
 #: Words of a worker's cache.
-CACHE = 500_000
+CACHE = 300_000
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -89,6 +91,17 @@ class Known(dict):
         return total.real / max(1.0, total.imag)
 
 
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive texts of about a megabyte in all, so that few words are held at a time."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, before + (1 << 20))))
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text and their shares."""
     words = text.split()
@@ -99,7 +112,7 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     times = np.bincount(buckets, np.fromiter(counts.values(), float)[numbers], BUCKETS + 1)
     times[REPEAT] = sum(map(eq, words, words[1:]))
     at = np.flatnonzero(times)
-    return at, times[at] / times.sum()
+    return at.astype(np.int32), (times[at] / times.sum()).astype(np.float32)
 
 
 def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
@@ -164,10 +177,12 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, carry: tuple[str, .
     def run(batches):
         known = Known(shared.value.astype(float))
         for batch in batches:
-            texts = [(text or "").split() for text in batch.column(len(carry)).to_pylist()]
-            known.learn(texts)
-            odds = (max(-700.0, min(700.0, bias + known.odds(words))) for words in texts)
-            scores = [1 / (1 + math.exp(-x)) for x in odds]
+            scores = []
+            for part in slices(batch.column(len(carry))):
+                texts = [(text or "").split() for text in part.to_pylist()]
+                known.learn(texts)
+                odds = (max(-700.0, min(700.0, bias + known.odds(words))) for words in texts)
+                scores += [1 / (1 + math.exp(-x)) for x in odds]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(carry)], pa.array(scores, pa.float64())], [*carry, "score"]
             )
