@@ -15,17 +15,15 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import table
+from demandspark.llm.common import slices, table
 
 #: Bound on the labelled rows that are learned from.
 SAMPLE = 3000
@@ -91,17 +89,6 @@ class Known(dict):
         return total.real / max(1.0, total.imag)
 
 
-def slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """Consecutive texts of about a megabyte in all, so that few words are held at a time."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(texts):
-        before = sizes[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(sizes, before + (1 << 20))))
-        yield texts.slice(start, stop - start)
-        start = stop
-
-
 def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text and their shares."""
     words = text.split()
