@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from demandspark.llm.op1_simhash import op1_simhash
 from demandspark.llm.op10_quality import op10_quality
 from demandspark.llm.op9_decontamination import op9_decontamination
+from demandspark.llm.op6_html import op6_html
 from demandspark.llm.op4_sharding import op4_sharding
 from demandspark.llm.op7_packing import op7_packing
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_simhash": (op1_simhash, None),
     "op4_sharding": (op4_sharding, None),
+    "op6_html": (op6_html, None),
     "op7_packing": (op7_packing, None),
     "op9_decontamination": (op9_decontamination, None),
     "op10_quality": (op10_quality, None),
