@@ -30,7 +30,8 @@ SAMPLE = 3000
 BUCKETS = 1 << 17
 GRAMS = (3, 4)
 DIMENSIONS = 12
-EPOCHS = 4
+#: Steps of training, as whole passes over the sample.
+STEPS = 12_000
 RATE = 0.6
 THRESHOLD = 0.3
 #: Words of a worker's cache.
@@ -108,8 +109,9 @@ def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS + 1, DIMENSIONS))
     out, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
     bags = [bag(t) for t in texts]
-    steps, step = EPOCHS * len(bags), 0
-    for _ in range(EPOCHS):
+    passes = -(-STEPS // len(bags))
+    steps, step = passes * len(bags), 0
+    for _ in range(passes):
         for k in rng.permutation(len(bags)):
             rate = RATE * (1 - step / steps)
             step += 1
@@ -157,25 +159,33 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     return np.frombuffer(model[0]["weights"], np.float32).astype(float), model[0]["bias"]
 
 
-def score(docs: DataFrame, weights: np.ndarray, bias: float, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``carry`` columns of every row and the probability of label 1."""
+def score(
+    docs: DataFrame, weights: np.ndarray, bias: float, carry: tuple[str, ...] = ("doc_id",), name: str = "score"
+) -> DataFrame:
+    """``carry`` columns of every row and, as ``name``, the probability of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # fixed size: one float per bucket
+    at = carry.index("text") if "text" in carry else len(carry)
 
     def run(batches):
         known = Known(shared.value.astype(float))
         for batch in batches:
             scores = []
-            for part in slices(batch.column(len(carry))):
+            for part in slices(batch.column(at)):
                 texts = [(text or "").split() for text in part.to_pylist()]
                 known.learn(texts)
                 odds = (max(-700.0, min(700.0, bias + known.odds(words))) for words in texts)
                 scores += [1 / (1 + math.exp(-x)) for x in odds]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(carry)], pa.array(scores, pa.float64())], [*carry, "score"]
-            )
+            columns = [*batch.columns[: len(carry)], pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*carry, name])
 
-    schema = docs.select(*carry).schema.add("score", "double")
-    return docs.select(*carry, F.col("text").alias("whole_text")).mapInArrow(run, schema)
+    schema = docs.select(*carry).schema.add(name, "double")
+    read = docs.select(*carry) if "text" in carry else docs.select(*carry, "text")
+    return read.mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, weights: np.ndarray, bias: float, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that score at least ``threshold``."""
+    return score(docs, weights, bias, tuple(docs.columns), "_score").where(F.col("_score") >= threshold).drop("_score")
 
 
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -92,6 +92,14 @@ def near_duplicates(
     )
 
 
+def deduplicated(docs: DataFrame, **how) -> DataFrame:
+    """One row of ``docs``, all columns, of each component: that of its smallest doc_id. Rows without id stay."""
+    found = near_duplicates(docs, **how)
+    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
 def links(distinct: DataFrame, bits: int, radius: int, ratio: float | None) -> DataFrame:
     """Links (a, b) that join the same rows as all pairs within ``radius`` bits do, of (node, words, n)."""
     rows = distinct.select(
