@@ -12,12 +12,14 @@ from demandspark.llm.op8_embeddings import OP8_SQL, op8_embeddings
 from demandspark.llm.op9_decontamination import op9_decontamination
 from demandspark.llm.op6_html import op6_html
 from demandspark.llm.op2_pii import op2_pii
+from demandspark.llm.op3_substrings import op3_substrings
 from demandspark.llm.op4_sharding import op4_sharding
 from demandspark.llm.op7_packing import op7_packing
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_simhash": (op1_simhash, None),
     "op2_pii": (op2_pii, None),
+    "op3_substrings": (op3_substrings, None),
     "op4_sharding": (op4_sharding, None),
     "op6_html": (op6_html, None),
     "op7_packing": (op7_packing, None),
