@@ -10,6 +10,7 @@ from demandspark.llm.op1_simhash import op1_simhash
 from demandspark.llm.op10_quality import op10_quality
 from demandspark.llm.op8_embeddings import OP8_SQL, op8_embeddings
 from demandspark.llm.op9_decontamination import op9_decontamination
+from demandspark.llm.op5_licenses import op5_licenses
 from demandspark.llm.op6_html import op6_html
 from demandspark.llm.op2_pii import op2_pii
 from demandspark.llm.op3_substrings import op3_substrings
@@ -21,6 +22,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_pii": (op2_pii, None),
     "op3_substrings": (op3_substrings, None),
     "op4_sharding": (op4_sharding, None),
+    "op5_licenses": (op5_licenses, None),
     "op6_html": (op6_html, None),
     "op7_packing": (op7_packing, None),
     "op8_embeddings": (op8_embeddings, OP8_SQL),
