@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def source(spark: SparkSession, name: str) -> DataFrame:
@@ -17,11 +17,22 @@ def source(spark: SparkSession, name: str) -> DataFrame:
 def read_training_csv(
     spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> DataFrame:
-    """CSV with a header line. Without a schema Spark reads the file twice to infer one."""
+    """CSV with a header line. Without a schema Spark reads the file twice to infer one.
+
+    A schema names columns of the header in any order; a name that the header lacks and a cell that
+    is not of its type raise an error.
+    """
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    named = {field.name: field for field in wanted}
+    header = reader.csv(path).columns
+    if missing := [name for name in named if name not in header]:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+    by_place = StructType([named.get(name, StructField(name, StringType())) for name in header])
+    rows = reader.option("mode", "FAILFAST").option("enforceSchema", False).schema(by_place).csv(path)
+    return rows.select(*named)
 
 
 def read_orc(spark: SparkSession, path: str) -> DataFrame:
