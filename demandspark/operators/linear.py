@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -198,7 +200,8 @@ def predict(
         )
         return df.withColumn(out, _finish(y, nonneg, rounding))
     fields = ["intercept", "coef", "mean", "scale"]
-    fitted = model.select(*by, *[F.col(f).alias(f"_{f}") for f in fields])
+    keys = [F.col(b).alias(f"_key{i}") for i, b in enumerate(by)]
+    fitted = model.select(*keys, *[F.col(f).alias(f"_{f}") for f in fields])
     y = _linear(
         F.col("_intercept"),
         lambda i: F.get("_coef", F.lit(i)),
@@ -206,8 +209,11 @@ def predict(
         lambda i: F.get("_scale", F.lit(i)),
         features,
     )
-    joined = df.join(fitted, list(by))
-    return joined.withColumn(out, _finish(y, nonneg, rounding)).drop(*[f"_{f}" for f in fields])
+    # A NULL key has its own model; rows of a key without a model stay, without a prediction.
+    same = reduce(and_, (df[b].eqNullSafe(fitted[f"_key{i}"]) for i, b in enumerate(by)))
+    joined = df.join(fitted, same, "left")
+    value = F.when(F.col("_coef").isNotNull(), _finish(y, nonneg, rounding))
+    return joined.withColumn(out, value).drop(*[f"_{f}" for f in fields], *[f"_key{i}" for i in range(len(by))])
 
 
 def pinned(model: DataFrame) -> DataFrame:

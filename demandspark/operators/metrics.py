@@ -11,8 +11,10 @@ ALL_METRICS = ("mse", "rmse", "mae", "r2", "poisson")
 
 
 def metric_columns(y: str, yhat: str, metrics: Sequence[str]) -> list[Column]:
-    """Aggregates for the named scores of ``yhat`` against ``y``."""
+    """Aggregates for the named scores of ``yhat`` against ``y``, over the rows that have both."""
     t, p = F.col(y).cast("double"), F.col(yhat).cast("double")
+    both = t.isNotNull() & p.isNotNull()
+    t, p = F.when(both, t), F.when(both, p)
     mse = F.avg((t - p) * (t - p))
     spread = F.var_pop(t)
     unusable = (t < 0) | (p <= 0)

@@ -19,5 +19,7 @@ def hash_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test): about the share ``test`` goes to the second. The same row always falls on
     the same side, however the data is partitioned or recomputed."""
+    if not 0.005 <= test <= 0.995 or abs(test * 100 - round(test * 100)) > 1e-9:
+        raise ValueError("the test share must be a whole percentage between 1 and 99")
     is_test = test_bucket(key_cols, seed) < round(test * 100)
     return df.filter(~is_test), df.filter(is_test)
