@@ -13,7 +13,7 @@ from demandspark.operators.aggregates import distinct_count_by, mean_by
 from demandspark.operators.joins import window_expand
 from demandspark.operators.series import first_day, hour_series, with_series
 from demandspark.operators.smoothing import ema_grid
-from demandspark.operators.windows import block_rolling_means, ranged_index
+from demandspark.operators.windows import block_rolling_means, null_safe_join, ranged_index
 
 # Output name -> rows before the current one.
 SLOT_WINDOWS = {"rolling_dh_avg2": 2, "rolling_dh_avg4": 4}
@@ -78,7 +78,7 @@ def slot_rolling_means(
     day_no = F.datediff(F.to_date("delivery_timestamp"), start)
     week_no = whole_div(day_no, 7)
     placed = (
-        grid.join(cities, "city_destination")
+        null_safe_join(grid, cities, ["city_destination"], "inner")
         .withColumn("_slot_pos", (week_no * n_cities + F.col("_rank")).cast("bigint"))
         .withColumn(
             "_day_pos",

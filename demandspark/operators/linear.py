@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MODEL_FIELDS = "n_rows bigint, intercept double, coef array<double>, mean array<double>, scale array<double>"
-_CONSTANT = 1e-18  # variance below this share of the squared mean counts as none
+_CONSTANT = 1e-24  # variance below this share of the squared mean counts as none
 _CANCELLED = 1e-13  # likewise for the mean square around the centre it was summed about
 _RANK_CUT = 1e-12  # eigenvalues below this share of the largest count as zero
 
@@ -32,8 +32,8 @@ class Scaler:
 
 
 def count_and_means(df: DataFrame, cols: Sequence[str]) -> tuple[int, list[float]]:
-    """Row count and mean of each column, fetched as one row; 0 where there is no mean."""
-    means = [F.avg(c).alias(f"_{i}") for i, c in enumerate(cols)]
+    """Row count and mean of each column, NULL and NaN left out, fetched as one row; 0 where there is no mean."""
+    means = [F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"_{i}") for i, c in enumerate(cols)]
     n, *values = df.agg(F.count("*").alias("_n"), *means).first()
     return n, [float(v) if v is not None else 0.0 for v in values]
 
@@ -71,11 +71,13 @@ def gram(
     Row 0 holds the count and the plain sums. Each data row is repeated once per matrix row,
     which keeps the aggregation narrow enough for compiled code; it is summed up before the
     shuffle, so a group costs a few rows per task however large it is. Matrices add up, so
-    groups can be combined afterwards.
+    groups can be combined afterwards. Rows that lack a feature or the target (NULL or NaN)
+    are left out, so every sum is over the same rows.
     """
     shifted = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip([*features, target], centers)]
     z = [f"_z{i}" for i in range(len(shifted) + 1)]
     rows = df.select(*group_by, F.lit(1.0).alias(z[0]), *[c.alias(n) for n, c in zip(z[1:], shifted)])
+    rows = rows.dropna(subset=z)
     repeated = rows.select(*group_by, *z, F.posexplode(F.array(*z)).alias("_i", "_x"))
     lines = repeated.groupBy(*group_by, "_i").agg(
         *[F.sum(F.col("_x") * F.col(n)).alias(f"_g{j}") for j, n in enumerate(z)]
@@ -85,6 +87,32 @@ def gram(
     return lines.groupBy(*group_by).agg(F.transform(matrix, lambda r: r["_g"]).alias("g"))
 
 
+def centred_gram(
+    df: DataFrame, features: Sequence[str], target: str, group_by: Sequence[str]
+) -> DataFrame:
+    """As ``gram``, around each group's own means, which come with it as ``m``.
+
+    Groups may differ by any factor: covariances are merged from partial ones, so no large
+    square cancels. Matrices of different groups can't be added up.
+    """
+    z = [f"_z{i}" for i in range(len(features) + 1)]
+    rows = df.select(*group_by, *[F.col(c).cast("double").alias(n) for n, c in zip(z, [*features, target])])
+    repeated = rows.dropna(subset=z).select(*group_by, *z, F.posexplode(F.array(*z)).alias("_i", "_x"))
+    lines = repeated.groupBy(*group_by, "_i").agg(
+        F.count("*").cast("double").alias("_n"),
+        F.avg("_x").alias("_m"),
+        *[F.covar_pop("_x", n).alias(f"_g{j}") for j, n in enumerate(z)],
+    )
+    around = F.array(F.lit(0.0), *[F.col(f"_g{j}") * F.col("_n") for j in range(len(z))])
+    lines = lines.withColumn("_line", F.struct("_i", "_m", around.alias("_g")))
+    matrix = F.array_sort(F.collect_list("_line"))
+    top = F.concat(F.array(F.max("_n")), F.array_repeat(F.lit(0.0), len(z)))
+    return lines.groupBy(*group_by).agg(
+        F.concat(F.array(top), F.transform(matrix, lambda r: r["_g"])).alias("g"),
+        F.transform(matrix, lambda r: r["_m"]).alias("m"),
+    )
+
+
 def solve(
     g: np.ndarray, centers: np.ndarray, standardize: bool = False
 ) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
@@ -131,17 +159,21 @@ def fit_ols(
     """Least squares with intercept: one model row, or one per group.
 
     With ``standardize`` the coefficients belong to (x - mean) / scale, learned on the same
-    rows; the model row carries both arrays, so predicting needs the raw features only.
+    rows; the model row carries both arrays, so predicting needs the raw features only. Rows
+    that lack a feature or the target are left out; without any row there is no model.
     """
-    _, centers = count_and_means(df, [*features, target])
-    sums = gram(df, features, target, centers, group_by)
     keys = list(group_by)
-    offsets = np.array(centers)
+    if keys:
+        sums = centred_gram(df, features, target, keys)
+    else:
+        _, centers = count_and_means(df, [*features, target])
+        sums = gram(df, features, target, centers).filter(F.size("g") > 0)
+        sums = sums.withColumn("m", F.array(*[F.lit(c) for c in centers]))
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             matrices = [as_matrix(g) for g in batch["g"]]
-            fits = [solve(g, offsets, standardize) for g in matrices]
+            fits = [solve(g, np.array(m), standardize) for g, m in zip(matrices, batch["m"])]
             out = batch[keys].copy()
             out["n_rows"] = [int(g[0, 0]) for g in matrices]
             for i, name in enumerate(["intercept", "coef", "mean", "scale"]):

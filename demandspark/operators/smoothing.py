@@ -4,7 +4,8 @@ For a factor a and a zero-based row number n, with b = 1/a:
 
     e_n = (sum of b^i * x_i for i <= n, plus x_0) / b^(n+1)
 
-A NULL value adds nothing; a NULL first value makes the whole group NULL. Only a = 0.5 is an
+A NULL value adds nothing; a NULL first value makes the whole group NULL; NaN and infinities reach
+all rows behind them. Only a = 0.5 is an
 average: the weights sum to a/(1-a) in the long run.
 """
 
@@ -20,10 +21,12 @@ from demandspark.functions.scalars import half_up, whole_div
 from demandspark.operators.windows import (
     GROUP_LIMIT,
     Order,
-    ascending,
     fits_window,
+    null_safe_join,
     ranged_index,
+    total_order,
 )
+from demandspark.sources.scratch import materialize
 
 _MAX_BITS = 900  # b^n stays clear of the largest double (2^1024)
 _ZERO_BITS = 1100  # a^n is exactly 0.0 in a double beyond this
@@ -41,6 +44,10 @@ def direct_limit(alphas: Sequence[float]) -> int:
     return min(GROUP_LIMIT, int(_MAX_BITS / max(map(_bits, alphas))))
 
 
+def _not_finite(x: Column) -> Column:
+    return F.isnan(x) | (F.abs(x) == F.lit(math.inf))
+
+
 def ema_grid(
     df: DataFrame,
     outputs: Mapping[str, tuple[str, float]],
@@ -52,7 +59,8 @@ def ema_grid(
     """Add one smoothed column per entry of ``outputs`` (name -> value column, factor).
 
     All columns share one sort. Series longer than the direct form can hold, or too long for
-    one task, take the block form; ``auto`` measures that, ``window`` states it is known.
+    one task, take the block form; ``auto`` measures that, ``window`` states that they are not,
+    and fails on a series whose powers would overflow.
     """
     alphas = [a for _, a in outputs.values()]
     finish: Callable[[Column], Column] = half_up if rounded else (lambda c: c)
@@ -76,12 +84,17 @@ def ema(
 
 
 def _direct(df, outputs, partition_by, order_by, finish):
-    w = Window.partitionBy(*partition_by).orderBy(*ascending(order_by))
+    w = Window.partitionBy(*partition_by).orderBy(*total_order(df, order_by))
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     factors = list(dict.fromkeys(a for _, a in outputs.values()))
     powers = {a: f"_p{i}" for i, a in enumerate(factors)}
+    longest = direct_limit(factors)
+    too_long = F.raise_error(F.lit(f"a series is longer than {longest} rows: use the ranged strategy"))
     numbered = df.withColumn("_n", F.row_number().over(w) - 1).withColumns(
-        {p: F.pow(F.lit(1.0 / a), F.col("_n")) for a, p in powers.items()}
+        {
+            p: F.when(F.col("_n") < longest, F.pow(F.lit(1.0 / a), F.col("_n"))).otherwise(too_long.cast("double"))
+            for a, p in powers.items()
+        }
     )
     smoothed = {}
     for out, (value, a) in outputs.items():
@@ -95,7 +108,9 @@ def _blocked(df, outputs, partition_by, order_by, finish):
     """Closed form inside short blocks, plus what earlier blocks still contribute.
 
     An earlier block's end value is damped by a^block per block in between. Only as many
-    blocks back are added as have a weight above 0.0, so nothing is cut off.
+    blocks back are added as have a weight above 0.0, so nothing is cut off. Values that are
+    not finite have no weight to fade: the first blocks that hold them are kept per key and
+    mark all blocks behind.
     """
     keys = list(partition_by)
     bits = {a: _bits(a) for _, a in outputs.values()}
@@ -119,9 +134,33 @@ def _blocked(df, outputs, partition_by, order_by, finish):
     def weighted(value: str, alpha: float) -> Column:
         return F.pow(F.lit(1.0 / alpha), F.col("_r")) * F.col(f"_x_{value}")
 
+    def finite(value: str, part: Column) -> Column:
+        return F.when(~_not_finite(F.col(f"_x_{value}")), part)
+
+    kinds = {"nan": F.isnan, "pos": lambda x: x == F.lit(math.inf), "neg": lambda x: x == F.lit(-math.inf)}
+    firsts = {
+        f"_{kind}_{v}": F.min(F.when(is_kind(F.col(f"_x_{v}")), F.col("_blk")))
+        for v in values
+        for kind, is_kind in kinds.items()
+    }
     ends = numbered.groupBy(*keys, "_blk").agg(
         F.count("*").alias("_m"),
-        *[F.sum(weighted(v, a)).alias(f"_end_{out}") for out, (v, a) in outputs.items()],
+        *[F.sum(finite(v, weighted(v, a))).alias(f"_end_{out}") for out, (v, a) in outputs.items()],
+        *[c.alias(name) for name, c in firsts.items()],
+    )
+    ends = materialize(ends, "block-ends")  # read three times; one row per block
+    spoilt = ends.filter(" OR ".join(f"`{name}` IS NOT NULL" for name in firsts))
+    spoilt = spoilt.groupBy(*keys).agg(*[F.min(name).alias(name) for name in firsts])
+
+    def mark(value: str) -> Column:
+        """What stays of earlier values that are not finite."""
+        nan, pos, neg = (F.coalesce(F.col(f"_{k}_{value}") < F.col("_blk"), F.lit(False)) for k in kinds)
+        return (
+            F.when(nan | (pos & neg), F.lit(math.nan)).when(pos, F.lit(math.inf)).when(neg, F.lit(-math.inf))
+        )
+
+    marked = null_safe_join(ends.select(*keys, "_blk"), spoilt, keys, "inner").select(
+        *keys, "_blk", *[mark(v).alias(f"_end_{out}") for out, (v, _) in outputs.items()]
     )
     damped = {
         f"_end_{out}": F.col(f"_end_{out}")
@@ -133,6 +172,8 @@ def _blocked(df, outputs, partition_by, order_by, finish):
         ends.withColumn("_back", F.explode(F.sequence(F.lit(1), F.lit(reach))))
         .withColumns(damped)
         .withColumn("_blk", F.col("_blk") + F.col("_back"))
+        .select(*keys, "_blk", *damped)
+        .unionByName(marked)
         .groupBy(*keys, "_blk")
         .agg(*[F.sum(f"_end_{out}").alias(f"_in_{out}") for out in outputs])
     )

@@ -4,6 +4,7 @@ Each operator has two plans with equal results. The ``window`` plan is Spark's o
 brings one group into one task; it is right when groups are small. The ``ranged`` plan sorts
 by range across the cluster and works on even slices, so a group of any size is spread over
 many tasks. ``auto`` measures the largest group first (one pre-aggregated pass over the keys).
+Both plans order ties by a hash of the rows' content, so they place every row alike.
 """
 
 from __future__ import annotations
@@ -28,6 +29,16 @@ def ascending(keys: Sequence[Order]) -> list[Column]:
     return [F.col(k).asc_nulls_last() if isinstance(k, str) else k for k in keys]
 
 
+def tie_breaker(df: DataFrame) -> Column:
+    """Hash of a row's content: rows that it leaves tied are equal (up to collisions of 64 bits)."""
+    return F.xxhash64(*[f.name for f in df.schema if not f.dataType.simpleString().startswith(("map", "variant"))])
+
+
+def total_order(df: DataFrame, order_by: Sequence[Order]) -> list[Column]:
+    """The order of ``order_by``, ties by content, as in the ranged plan."""
+    return [*ascending(order_by), tie_breaker(df)]
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Row count of the biggest group."""
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
@@ -59,9 +70,8 @@ def in_slices(
     fill one slice; a random number would move rows when a lost stage is computed again. The
     result is read back from a written table, so slices and places never change.
     """
-    hashed = [f.name for f in df.schema if not f.dataType.simpleString().startswith(("map", "variant"))]
     placed = (
-        df.withColumn("_tie", F.xxhash64(*hashed))
+        df.withColumn("_tie", tie_breaker(df))
         .orderBy(*ascending(partition_by), *ascending(order_by), "_tie")
         .drop("_tie")
         .withColumn("_place", F.monotonically_increasing_id())
@@ -134,7 +144,7 @@ def seq_num(
 ) -> DataFrame:
     """Zero-based row number within each group (bigint)."""
     if partition_by and fits_window(df, partition_by, strategy):
-        w = Window.partitionBy(*partition_by).orderBy(*ascending(order_by))
+        w = Window.partitionBy(*partition_by).orderBy(*total_order(df, order_by))
         return df.withColumn(out, F.row_number().over(w).cast("bigint") - 1)
     return ranged_index(df, order_by, partition_by, out)
 
@@ -185,7 +195,7 @@ def rolling_means(
 ) -> DataFrame:
     """Several rolling means of one value over the same ordering."""
     if partition_by and fits_window(df, partition_by, strategy):
-        w = Window.partitionBy(*partition_by).orderBy(*ascending(order_by))
+        w = Window.partitionBy(*partition_by).orderBy(*total_order(df, order_by))
         return df.withColumns({o: F.avg(value).over(w.rowsBetween(-k, 0)) for o, k in windows.items()})
     numbered = ranged_index(df, order_by, partition_by, "_seq")
     return block_rolling_means(numbered, value, windows, "_seq", partition_by, block).drop("_seq")

@@ -23,10 +23,9 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    app = context.applicationId
-    if app not in _LOCAL:
-        _LOCAL[app] = tempfile.mkdtemp(prefix="demandspark-")
-    return _LOCAL[app]
+    if context.master not in _LOCAL:  # paths below it begin with the application's id
+        _LOCAL[context.master] = tempfile.mkdtemp(prefix="demandspark-")
+    return _LOCAL[context.master]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
