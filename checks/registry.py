@@ -574,23 +574,38 @@ def _(spark, d):
 # ---- end-to-end queries --------------------------------------------------------------------
 
 
-@register("moving_average_forecast", O.with_views(O.rounded(f"""
+MOVING_AVERAGE_SQL = O.with_views(O.rounded(f"""
 SELECT city_destination AS city, ride_date AS day, total_bookings AS total_booking, {PRED} AS pred_rides,
  AVG({PRED}) OVER (ORDER BY ride_date, city_destination ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
-  AS smoothen_average_pred_7 FROM v_forecast""", {"smoothen_average_pred_7": 6})))
+  AS smoothen_average_pred_7 FROM v_forecast""", {"smoothen_average_pred_7": 6}))
+SMOOTHING_SQL = O.with_views(
+    f"SELECT city_destination, ride_date, total_bookings, {PRED}, {O.ema_sql(PRED, 0.5, 'city_destination')} AS exp_mov_avg FROM n",
+    {"n": "SELECT *, row_number() OVER (PARTITION BY city_destination ORDER BY ride_date) - 1 AS seqnum FROM v_forecast"})
+
+
+@register("moving_average_forecast", MOVING_AVERAGE_SQL)
 def _(spark, d):
     return rounded(
         forecasts.moving_average_forecast(standins.forecast(spark, d)), ["smoothen_average_pred_7"], 6
     )
 
 
-@register("exponential_smoothing_forecast", O.with_views(
-    f"SELECT city_destination, ride_date, total_bookings, {PRED}, {O.ema_sql(PRED, 0.5, 'city_destination')} AS exp_mov_avg FROM n",
-    {"n": "SELECT *, row_number() OVER (PARTITION BY city_destination ORDER BY ride_date) - 1 AS seqnum FROM v_forecast"}))
+@register("moving_average_in_blocks", MOVING_AVERAGE_SQL)
+def _(spark, d):
+    averaged = forecasts.moving_average_forecast(standins.forecast(spark, d), block=64)
+    return rounded(averaged, ["smoothen_average_pred_7"], 6)
+
+
+@register("exponential_smoothing_forecast", SMOOTHING_SQL)
 def _(spark, d):
     return forecasts.exponential_smoothing_forecast(standins.forecast(spark, d))
 
 
+@register("smoothing_long_series", SMOOTHING_SQL)
+def _(spark, d):
+    return forecasts.exponential_smoothing_forecast(standins.forecast(spark, d), strategy="ranged", block=64)
+
+
 @register("five_factor_training_set", O.with_views(O.FIVE_SELECT, O.FIVE_CTES))
 def _(spark, d):
     return training_five(spark, d)

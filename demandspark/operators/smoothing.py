@@ -55,18 +55,19 @@ def ema_grid(
     order_by: Sequence[Order],
     rounded: bool = True,
     strategy: str = "auto",
+    block: int | None = None,
 ) -> DataFrame:
     """Add one smoothed column per entry of ``outputs`` (name -> value column, factor).
 
     All columns share one sort. Series longer than the direct form can hold, or too long for
     one task, take the block form; ``auto`` measures that, ``window`` states that they are not,
-    and fails on a series whose powers would overflow.
+    and fails on a series whose powers would overflow. ``block`` shortens the blocks.
     """
     alphas = [a for _, a in outputs.values()]
     finish: Callable[[Column], Column] = half_up if rounded else (lambda c: c)
     if fits_window(df, partition_by, strategy, direct_limit(alphas)):
         return _direct(df, outputs, partition_by, order_by, finish)
-    return _blocked(df, outputs, partition_by, order_by, finish)
+    return _blocked(df, outputs, partition_by, order_by, finish, block)
 
 
 def ema(
@@ -78,9 +79,10 @@ def ema(
     out: str = "exp_mov_avg",
     rounded: bool = True,
     strategy: str = "auto",
+    block: int | None = None,
 ) -> DataFrame:
     """Smooth one value with one factor."""
-    return ema_grid(df, {out: (value, alpha)}, partition_by, order_by, rounded, strategy)
+    return ema_grid(df, {out: (value, alpha)}, partition_by, order_by, rounded, strategy, block)
 
 
 def _direct(df, outputs, partition_by, order_by, finish):
@@ -104,7 +106,7 @@ def _direct(df, outputs, partition_by, order_by, finish):
     return numbered.withColumns(smoothed).drop("_n", *powers.values())
 
 
-def _blocked(df, outputs, partition_by, order_by, finish):
+def _blocked(df, outputs, partition_by, order_by, finish, block=None):
     """Closed form inside short blocks, plus what earlier blocks still contribute.
 
     An earlier block's end value is damped by a^block per block in between. Only as many
@@ -114,7 +116,7 @@ def _blocked(df, outputs, partition_by, order_by, finish):
     """
     keys = list(partition_by)
     bits = {a: _bits(a) for _, a in outputs.values()}
-    block = max(1, min(_MAX_BLOCK, int(_MAX_BITS / max(bits.values()))))
+    block = max(1, min(block or _MAX_BLOCK, int(_MAX_BITS / max(bits.values()))))
     reach = int(_ZERO_BITS / (block * min(bits.values()))) + 2
     values = list(dict.fromkeys(v for v, _ in outputs.values()))
 
