@@ -14,6 +14,7 @@ from demandspark.operators.joins import window_expand
 from demandspark.operators.series import first_day, hour_series, with_series
 from demandspark.operators.smoothing import ema_grid
 from demandspark.operators.windows import block_rolling_means, null_safe_join, ranged_index
+from demandspark.sources.scratch import materialize
 
 # Output name -> rows before the current one.
 SLOT_WINDOWS = {"rolling_dh_avg2": 2, "rolling_dh_avg4": 4}
@@ -41,9 +42,12 @@ def city_hour_grid(rides: DataFrame, as_of: dt.date | str, months: int = 12) ->
 
 def hourly_demand_grid(rides: DataFrame, as_of: dt.date | str, months: int = 12) -> DataFrame:
     """Zero-filled counts on the city-hour grid, with hour and weekday."""
+    # One row per city and hour, written once: the cities and their ranks come from it, not from the rides again.
+    counts = materialize(hourly_counts(rides, as_of), "hourly-counts")
+    cities = counts.select("city_destination").distinct()
     return (
-        city_hour_grid(rides, as_of, months)
-        .join(hourly_counts(rides, as_of), ["city_destination", "delivery_timestamp"], "left")
+        with_series(cities, hour_series(as_of, months), "delivery_timestamp")
+        .join(counts, ["city_destination", "delivery_timestamp"], "left")
         .select(
             "delivery_timestamp",
             "city_destination",

@@ -19,11 +19,10 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.scalars import half_up, whole_div
 from demandspark.operators.windows import (
-    GROUP_LIMIT,
     Order,
-    fits_window,
     null_safe_join,
     ranged_index,
+    takes_window,
     total_order,
 )
 from demandspark.sources.scratch import materialize
@@ -41,7 +40,7 @@ def _bits(alpha: float) -> float:
 
 def direct_limit(alphas: Sequence[float]) -> int:
     """Longest series whose powers stay finite for every factor."""
-    return min(GROUP_LIMIT, int(_MAX_BITS / max(map(_bits, alphas))))
+    return int(_MAX_BITS / max(map(_bits, alphas)))
 
 
 def _not_finite(x: Column) -> Column:
@@ -54,18 +53,17 @@ def ema_grid(
     partition_by: Sequence[str],
     order_by: Sequence[Order],
     rounded: bool = True,
-    strategy: str = "auto",
+    strategy: str = "ranged",
     block: int | None = None,
 ) -> DataFrame:
     """Add one smoothed column per entry of ``outputs`` (name -> value column, factor).
 
-    All columns share one sort. Series longer than the direct form can hold, or too long for
-    one task, take the block form; ``auto`` measures that, ``window`` states that they are not,
-    and fails on a series whose powers would overflow. ``block`` shortens the blocks.
+    All columns share one sort. ``ranged`` takes series of any length, in blocks (``block``
+    shortens them). ``window`` states that the keys keep series short; it fails on one whose
+    powers would overflow.
     """
-    alphas = [a for _, a in outputs.values()]
     finish: Callable[[Column], Column] = half_up if rounded else (lambda c: c)
-    if fits_window(df, partition_by, strategy, direct_limit(alphas)):
+    if takes_window(strategy):
         return _direct(df, outputs, partition_by, order_by, finish)
     return _blocked(df, outputs, partition_by, order_by, finish, block)
 
@@ -78,7 +76,7 @@ def ema(
     order_by: Sequence[Order],
     out: str = "exp_mov_avg",
     rounded: bool = True,
-    strategy: str = "auto",
+    strategy: str = "ranged",
     block: int | None = None,
 ) -> DataFrame:
     """Smooth one value with one factor."""

@@ -1,10 +1,9 @@
 """Ordered operators: row numbers, rolling means, running sums, previous value, best rows.
 
 Each operator has two plans with equal results. The ``window`` plan is Spark's own window and
-brings one group into one task; it is right when groups are small. The ``ranged`` plan sorts
-by range across the cluster and works on even slices, so a group of any size is spread over
-many tasks. ``auto`` measures the largest group first (one pre-aggregated pass over the keys).
-Both plans order ties by a hash of the rows' content, so they place every row alike.
+brings one group into one task; ask for it where the keys bound a group by construction. The
+``ranged`` plan, used otherwise, sorts by range across the cluster and works on even slices, so
+a group of any size is spread over many tasks. The data's size never chooses the plan. Both plans order ties by a hash of the rows' content, so they place every row alike.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from pyspark.sql import functions as F
 from demandspark.functions.scalars import whole_div
 from demandspark.sources.scratch import materialize
 
-GROUP_LIMIT = 1_000_000
 BLOCK_ROWS = 65_536
 _POSITION_BITS = 33
 
@@ -39,18 +37,10 @@ def total_order(df: DataFrame, order_by: Sequence[Order]) -> list[Column]:
     return [*ascending(order_by), tie_breaker(df)]
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the biggest group."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return sizes.agg(F.max("_n")).first()[0] or 0
-
-
-def fits_window(df: DataFrame, keys: Sequence[str], strategy: str, limit: int = GROUP_LIMIT) -> bool:
-    """True when the plain window plan should be used."""
-    if strategy not in ("auto", "window", "ranged"):
+def takes_window(strategy: str) -> bool:
+    """True when the plain window plan is asked for."""
+    if strategy not in ("window", "ranged"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy == "auto":
-        return largest_group(df, keys) <= limit
     return strategy == "window"
 
 
@@ -140,10 +130,10 @@ def seq_num(
     partition_by: Sequence[str],
     order_by: Sequence[Order],
     out: str = "seqnum",
-    strategy: str = "auto",
+    strategy: str = "ranged",
 ) -> DataFrame:
     """Zero-based row number within each group (bigint)."""
-    if partition_by and fits_window(df, partition_by, strategy):
+    if partition_by and takes_window(strategy):
         w = Window.partitionBy(*partition_by).orderBy(*total_order(df, order_by))
         return df.withColumn(out, F.row_number().over(w).cast("bigint") - 1)
     return ranged_index(df, order_by, partition_by, out)
@@ -190,11 +180,11 @@ def rolling_means(
     windows: Mapping[str, int],
     order_by: Sequence[Order],
     partition_by: Sequence[str] = (),
-    strategy: str = "auto",
+    strategy: str = "ranged",
     block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Several rolling means of one value over the same ordering."""
-    if partition_by and fits_window(df, partition_by, strategy):
+    if partition_by and takes_window(strategy):
         w = Window.partitionBy(*partition_by).orderBy(*total_order(df, order_by))
         return df.withColumns({o: F.avg(value).over(w.rowsBetween(-k, 0)) for o, k in windows.items()})
     numbered = ranged_index(df, order_by, partition_by, "_seq")
@@ -208,7 +198,7 @@ def rolling_mean(
     preceding: int,
     partition_by: Sequence[str] = (),
     out: str = "rolling_mean",
-    strategy: str = "auto",
+    strategy: str = "ranged",
     block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Mean over the current and the ``preceding`` rows before it.
@@ -224,10 +214,10 @@ def running_sum(
     partition_by: Sequence[str],
     order_by: str,
     out: str = "running_sum",
-    strategy: str = "auto",
+    strategy: str = "ranged",
 ) -> DataFrame:
     """Sum from the highest ``order_by`` down to the current one; equal positions count together."""
-    if fits_window(df, partition_by, strategy):
+    if takes_window(strategy):
         w = Window.partitionBy(*partition_by).orderBy(F.col(order_by).desc_nulls_last())
         return df.withColumn(out, F.sum(value).over(w.rangeBetween(Window.unboundedPreceding, 0)))
     keys = list(partition_by)
@@ -256,11 +246,11 @@ def prev_edge(
     partition_by: Sequence[str],
     default: int = -1,
     out: str | None = None,
-    strategy: str = "auto",
+    strategy: str = "ranged",
 ) -> DataFrame:
     """Next lower value of ``col`` in the group, ``default`` for the lowest."""
     out = out or f"next_{col}"
-    if fits_window(df, partition_by, strategy):
+    if takes_window(strategy):
         w = Window.partitionBy(*partition_by).orderBy(F.col(col).asc_nulls_last())
         return df.withColumn(out, F.coalesce(F.lag(col).over(w), F.lit(default)))
     numbered = with_halo(ranged_index(df, [col], partition_by, "_seq"), "_seq", 1, BLOCK_ROWS)

@@ -23,17 +23,20 @@ MOVING_AVERAGES = {f"smoothen_average_pred_{k + 1}": k for k in (2, 6, 13, 20)}
 
 
 def smoothed_forecasts(
-    past: DataFrame, factors: dict[str, float], cutoff: dt.date | str, strategy: str = "auto"
+    past: DataFrame, factors: dict[str, float], cutoff: dt.date | str, strategy: str = "window"
 ) -> DataFrame:
     """Past forecasts after ``cutoff``, smoothed over delivery dates per city and observation
-    date. The windows go straight onto the rows, so no self-join is needed."""
+    date. The windows go straight onto the rows, so no self-join is needed.
+
+    A series has one row per lead time, so the key bounds it; a horizon of hundreds of days
+    fails with a message and takes ``ranged``."""
     kept = past.filter(F.col("observation_date") > date_lit(cutoff))
     outputs = {name: (PREDICTION, a) for name, a in factors.items()}
     keys = ["city_destination", "observation_date"]
     return ema_grid(kept, outputs, keys, ["delivery_date"], strategy=strategy)
 
 
-def five_factor_training_set(past: DataFrame, cutoff: dt.date | str, strategy: str = "auto") -> DataFrame:
+def five_factor_training_set(past: DataFrame, cutoff: dt.date | str, strategy: str = "window") -> DataFrame:
     """Calendar parts, five smoothed predictions and the target."""
     smoothed = smoothed_forecasts(past, FIVE_FACTORS, cutoff, strategy)
     dated = calendar_features(smoothed, ["observation_date", "delivery_date"])
@@ -57,7 +60,7 @@ def full_training_set(
     as_of: dt.date | str,
     cancelled_after: int = 2021,
     averages_after: int | None = None,
-    strategy: str = "auto",
+    strategy: str = "window",
 ) -> DataFrame:
     """Smoothed predictions, running cancellations, the top booker's amount and logarithms.
 

@@ -37,7 +37,7 @@ def moving_average_forecast(forecast: DataFrame, per_city: bool = False, block:
 
 
 def exponential_smoothing_forecast(
-    forecast: DataFrame, alpha: float = 0.5, strategy: str = "auto", block: int | None = None
+    forecast: DataFrame, alpha: float = 0.5, strategy: str = "ranged", block: int | None = None
 ) -> DataFrame:
     """Forecast smoothed per city in date order."""
     columns = ["city_destination", "ride_date", "total_bookings", PREDICTION]

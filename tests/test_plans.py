@@ -62,6 +62,24 @@ def test_smoothing_grid_shares_one_shuffle(spark, folder):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_daily_plans_are_built_without_a_job(spark, folder):
+    from demandspark.plans.daily import five_factor_training_set, full_training_set
+
+    past = scratch.materialize(standins.past_forecasts(spark, folder), "past")
+    rides = scratch.materialize(standins.rides(spark, folder), "rides")
+    context = spark.sparkContext
+    context.setJobGroup("building", "plans")
+    five_factor_training_set(past, "1995-01-31")
+    full_training_set(past, rides, "1995-01-31", "2001-08-02")
+    context.setJobGroup("done", "plans")
+    assert not context.statusTracker().getJobIdsForGroup("building")
+
+
+def test_hourly_set_scans_events_once_for_forecasts_and_once_for_the_curve(spark, folder):
+    plan = QUERIES["hourly_training_set"][0](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("events.parquet") == 2 and "hourly-counts" in plan
+
+
 def test_scan_reads_needed_columns_only(spark, folder):
     plan = QUERIES["daily_demand"][0](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in plan and "o_totalprice" not in plan
