@@ -93,8 +93,9 @@ def _(spark, d):
 @register("stored_training_set", O.with_views(O.FIVE_SELECT, O.FIVE_CTES))
 def _(spark, d):
     path = scratch.scratch_path(spark, "training-set")
-    tables.write_training_set(training_five(spark, d), path)
-    return spark.read.parquet(path)
+    training = training_five(spark, d)
+    tables.write_training_set(training, path)
+    return tables.read_training_set(spark, path, training.schema)
 
 
 # ---- series --------------------------------------------------------------------------------

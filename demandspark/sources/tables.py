@@ -58,3 +58,12 @@ def write_training_set(
     keys = list(partition_by)
     out = df.hint("rebalance", *keys) if keys else df.hint("rebalance")
     out.write.partitionBy(*keys).parquet(path)
+
+
+def read_training_set(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """Read what ``write_training_set`` wrote, with the types and order of ``schema``.
+
+    Without it, Spark guesses the types of partition values: cities named 007 would come back as numbers.
+    """
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    return spark.read.schema(wanted).parquet(path).select(*wanted.names)
