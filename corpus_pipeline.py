@@ -18,11 +18,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity about 0.8 or more.
+    """One document of each group of near copies: Jaccard similarity of five-word shingle sets 0.8 or more, on the texts.
 
-    Shingle sets of Jaccard similarity 0.8 have a cosine of 8 / 9 or, in 256 bits, about 39 differing ones.
+    Sets of similarity 0.8 have a cosine of 8 / 9 or, in 256 bits, about 39 +- 6 differing ones; candidates reach to 56.
     """
-    return op1_simhash.deduplicated(docs, size=5, bits=256, radius=40, ratio=0.8)
+    return op1_simhash.deduplicated(docs, size=5, bits=256, radius=56, least=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

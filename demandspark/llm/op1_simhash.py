@@ -10,6 +10,9 @@ such a segment has at least 12 bits a row goes to one group per segment value. T
 keeps the comparison near-linear. With wider radii all rows are one group and only population
 counts and lengths prune, so the work grows with the square of the different fingerprints.
 
+``verified`` takes links within a radius as candidates only. It splits groups of candidates into blocks of
+bounded size and links two texts whose sets of different shingles have the wanted Jaccard similarity.
+
 Defined cases: a null text counts as empty; an empty text has fingerprint zero and is linked like
 any other; a row without id is returned with a null component and links with nothing; repeated
 rows stay; other columns are ignored.
@@ -17,6 +20,7 @@ rows stay; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from itertools import repeat
 
 import numpy as np
@@ -33,6 +37,10 @@ from demandspark.sources import scratch
 TILE = 4096
 #: Segments shorter than this would gather too many unrelated rows.
 SEGMENT_BITS = 12
+#: Texts with at most so many different shingles also become candidates by their smallest hashes, which misses none.
+SHORT = 128
+#: Bounds of a block of candidates, in texts and in shingles.
+BLOCK_ROWS, BLOCK_SHINGLES = 256, 1 << 20
 
 
 def shingles(text: str | None, size: int) -> list[bytes]:
@@ -57,15 +65,16 @@ def fingerprint(pieces: list[bytes], bits: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int = 3, bits: int = 64) -> DataFrame:
-    """(doc_id, words array<long>, n): fingerprint and number of different shingles of every text."""
+    """(doc_id, words array<long>, n): fingerprint and number of shingles of every text, in over 64 bits of different ones."""
 
     def run(batches):
         for batch in batches:
             words, counts = [], []
             for text in batch.column(1).to_pylist():
                 pieces = shingles(text, size)
+                pieces = list(set(pieces)) if bits > 64 else pieces  # a line that occurs often counts once
                 words.append(fingerprint(pieces, bits).tolist())
-                counts.append(len(set(pieces)) if bits > 64 else len(pieces))
+                counts.append(len(pieces))
             columns = [batch.column(0), pa.array(words, pa.list_(pa.int64())), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "words", "n"])
 
@@ -92,9 +101,106 @@ def near_duplicates(
     )
 
 
+def _hashes(pieces: set[bytes]) -> np.ndarray:
+    """Sorted hashes of different shingles."""
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, pieces), np.uint64, len(pieces)))
+
+
+def _prefix(n: int, least: float) -> int:
+    """Sets that reach ``least`` share one of so many smallest elements of each."""
+    return n - math.ceil(least * n - 1e-9) + 1 if n else 0
+
+
+def _sets(docs: DataFrame, size: int, bits: int, least: float) -> DataFrame:
+    """(doc_id, key, words, n, low): digest and fingerprint of every shingle set; smallest hashes of a short one."""
+
+    def run(batches):
+        for batch in batches:
+            keys, words, counts, low = [], [], [], []
+            for text in batch.column(1).to_pylist():
+                pieces = set(shingles(text, size))
+                hashes = _hashes(pieces)
+                keys.append(xxhash.xxh3_128_hexdigest(hashes.tobytes()))
+                words.append(fingerprint(list(pieces), bits).tolist())
+                counts.append(len(hashes))
+                low.append(hashes[: _prefix(len(hashes), least)].view(np.int64).tolist() if len(hashes) <= SHORT else [])
+            longs = pa.list_(pa.int64())
+            columns = [batch.column(0), pa.array(keys, pa.string()), pa.array(words, longs), pa.array(counts, pa.int64()), pa.array(low, longs)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "words", "n", "low"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "doc_id long, key string, words array<long>, n long, low array<long>"
+    )
+
+
+def verified(docs: DataFrame, size: int, bits: int, radius: int, least: float) -> DataFrame:
+    """(doc_id, component_id): the smallest doc_id reachable over pairs of Jaccard similarity ``least`` or more.
+
+    Candidates are texts whose fingerprints of different shingles lie within ``radius`` bits, and short ones that
+    share one of their smallest hashes. Equal sets are one row from the start.
+    """
+    sets = scratch.materialize(_sets(docs, size, bits, least), "shingle-sets")
+    distinct = sets.where("doc_id is not null").groupBy("key").agg(
+        F.min("doc_id").alias("node"), F.first("words").alias("words"), F.first("n").alias("n"), F.first("low").alias("low")
+    )
+    distinct = scratch.materialize(distinct, "distinct-sets")
+    shared = distinct.select("node", F.explode("low").alias("hash"))
+    ends = shared.groupBy("hash").agg(F.min("node").alias("b")).join(shared, "hash").select(F.col("node").alias("a"), "b")
+    near = links(distinct.select("node", "words", "n"), bits, radius, least).unionByName(ends.where("a <> b"))
+    groups = components(scratch.materialize(near, "candidate-links"))
+
+    rows = distinct.select("node", "key", "words", "n").join(groups, "node")
+    cuts = rows.groupBy("root").agg(
+        F.expr(f"int(greatest(ceil(count(*) / {BLOCK_ROWS}), ceil(sum(n) / {BLOCK_SHINGLES})))").alias("cuts")
+    )
+    rows = rows.join(cuts, "root").withColumn("cut", F.expr("int(pmod(xxhash64(key), cuts))"))
+    rows = scratch.materialize(rows, "candidates")
+
+    def run(batches):
+        for batch in batches:
+            held = [_hashes(set(shingles(text, size))) for text in batch.column(1).to_pylist()]
+            keys = [xxhash.xxh3_128_hexdigest(h.tobytes()) for h in held]
+            hashes = pa.array([h.view(np.int64) for h in held], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.string()), hashes], ["node", "key", "hashes"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(rows.select("node").distinct(), "node", "left_semi")
+    texts = texts.mapInArrow(run, "node long, key string, hashes array<long>").dropDuplicates(["node", "key"])
+    other = F.explode(F.expr("sequence(0, cuts - 1)"))
+    dealt = rows.join(texts, ["node", "key"]).withColumn("other", other).select(
+        "root", F.least("cut", "other").alias("x"), F.greatest("cut", "other").alias("y"), "cut", "node", "words", "n", "hashes"
+    )
+    same = dealt.groupBy("root", "x", "y").applyInPandas(lambda pdf: _similar(pdf, radius, least), "a long, b long")
+    roots = components(scratch.materialize(same, "similar-texts"))
+    named = distinct.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component_id"))
+    return sets.select("doc_id", "key").join(named, "key", "left").select(
+        "doc_id", F.expr("if(doc_id is null, null, component_id)").alias("component_id")
+    )
+
+
+def _similar(pdf: pd.DataFrame, radius: int, least: float) -> pd.DataFrame:
+    """Links of one block with itself or another. Pairs that earlier links join need no look at their sets."""
+    cut, node, n, bits = pdf["cut"].to_numpy(), pdf["node"].to_numpy(), pdf["n"].to_numpy(), _bits(pdf["words"])
+    held = [np.asarray(h, np.int64) for h in pdf["hashes"]]
+    label = pd.Series(np.arange(len(pdf))).groupby(node).transform("min").to_numpy(copy=True)
+    across = cut.min() != cut.max()
+    found = []
+    for i in range(1, len(pdf)):
+        far = _within(bits[i], bits[:i])
+        on = ((far <= radius) | (np.maximum(n[i], n[:i]) <= SHORT)) & (np.minimum(n[i], n[:i]) >= least * np.maximum(n[i], n[:i]) - 1e-9)
+        js = np.flatnonzero(on & ~(across & (cut[:i] == cut[i])))
+        for j in js[np.argsort(far[js], kind="stable")]:
+            if label[i] == label[j]:
+                continue
+            both = len(np.intersect1d(held[i], held[j], assume_unique=True))
+            if both >= least * (len(held[i]) + len(held[j]) - both) - 1e-9:
+                found.append((node[i], node[j]))
+                label[label == label[i]] = label[j]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
 def deduplicated(docs: DataFrame, **how) -> DataFrame:
-    """One row of ``docs``, all columns, of each component: that of its smallest doc_id. Rows without id stay."""
-    found = near_duplicates(docs, **how)
+    """One row of ``docs``, all columns, of each verified component: that of its smallest doc_id. Rows without id stay."""
+    found = verified(docs, **how)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from demandspark.llm import op1_simhash as op
 from demandspark.llm.registry import QUERIES
 
@@ -72,3 +73,48 @@ def test_wide_radius_finds_similar_texts(spark, monkeypatch, tile):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r[0]: r[2] for r in op.near_duplicates(docs, 5, 256, 40, 0.8).collect()}
     assert got == {i: i % 100 for i, _ in rows}
+
+
+def test_repeated_lines_join_nothing(spark):
+    rng = np.random.default_rng(3)
+    line = " ".join(f"line{k}" for k in range(11))
+    rows = []
+    for i, (own, repeats) in enumerate([(300, 20), (300, 20), (300, 20), (1000, 50), (1000, 50), (1000, 50)]):
+        words = list(rng.choice(100_000, own).astype(str))
+        for at in sorted(rng.choice(own, repeats, replace=False), reverse=True):
+            words.insert(int(at), line)
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(6))
+
+
+@pytest.mark.parametrize("rows_in_block", [256, 3])
+def test_links_are_those_of_exact_similarity(spark, monkeypatch, rows_in_block):
+    monkeypatch.setattr(op, "BLOCK_ROWS", rows_in_block)
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(60):  # copies with a changed end, around 0.8; from 9 words on
+        words = list(rng.choice(50_000, (9, 14, 30, 200, 400)[i % 5]).astype(str))
+        rows.append((i, " ".join(words)))
+        for k in (1, 2):
+            changed = max(1, int(len(words) * rng.uniform(0.02, 0.2)))
+            rows.append((100 * k + i, " ".join(words[:-changed] + [f"x{i}.{k}.{c}" for c in range(changed)])))
+            rows.append((300 + 100 * k + i, " ".join(words[:-changed])))
+    rows += [(900, ""), (901, None), (902, "two words"), (903, "two  words"), (None, "two words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: r[1] for r in op.verified(docs, 5, 256, 56, 0.8).collect() if r[0] is not None}
+    sets = {i: set(op.shingles(t, 5)) for i, t in rows if i is not None}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in sets:
+        for j in sets:
+            if j < i and (sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    assert got == {i: find(i) for i in sets} and len(set(got.values())) > 60
