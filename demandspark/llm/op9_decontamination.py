@@ -1,13 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds counted per diagonal, then Smith-Waterman alignment of words.
 
-1. Benchmark items are taken in blocks of bounded size. One pass counts in how many documents each
-   n-gram of the block occurs, over all documents.
-2. Of every ``WINDOW`` consecutive n-grams of an item the rarest is a seed, so any stretch of
-   ``WINDOW + N - 1`` unchanged words holds one, however often a passage was copied: rarity only
-   chooses among an item's own n-grams and nothing is dropped for being frequent.
-3. A second pass finds seeds in the documents and aligns the item with the words around each
-   (match 1, mismatch -1, gap -1). An item is in a document if the best score reaches ``SCORE`` of
-   the item's length and at least ``min(8, length)`` words agree.
+1. Benchmark items are taken in blocks of bounded size and sent to the tasks. Every n-gram of an item is a seed.
+2. One pass over the documents finds the seeds. A copy of an item of length L that reaches the least score S
+   differs in at most L - S edits, so it keeps at least 2 S - L - (N - 1) of the item's n-grams, on diagonals at
+   most L - S apart. For N = 3 that is one n-gram or more at any length, so a copy always has a seed. Where fewer
+   seeds lie together no copy can be; that is the only reason not to align, and no n-gram is left out.
+3. The item is aligned with the words around the other seeds (match 1, mismatch -1, gap -1). An item is in a
+   document if the best score reaches ``SCORE`` of the item's length and at least ``min(8, length)`` words agree.
 
 Words are runs of letters, digits and underscores in lower case. No text is shuffled.
 
@@ -17,6 +16,7 @@ seed as a whole; repeated rows are reported each; a null doc_id is carried; othe
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from demandspark.llm.common import slices, table
 
 N = 3
-WINDOW = 6
 SCORE = 0.6
 LEAST = 8
 #: Bounds of a block of items that is sent to every task.
@@ -47,22 +46,37 @@ def lowered(text: str) -> str:
 
 @dataclass
 class Block:
-    """Items of a block: word ids, and n-gram codes with the (item, offset) pairs where they occur."""
+    """Items of a block: word ids; sorted n-gram codes, where those at ``first[c]:first[c + 1]`` have code c's (item, offset).
+
+    A copy of item k has at least ``need[k]`` of its n-grams on diagonals at most ``drift[k]`` apart.
+    """
 
     items: list[tuple[int, str]]
     words: dict[str, int] = field(default_factory=dict)
     ids: list[np.ndarray] = field(default_factory=list)
     codes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    places: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
+    first: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    item: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    offset: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    need: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    drift: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def __post_init__(self):
         for k, (_, text) in enumerate(self.items):
             words = _WORD.findall(lowered(text))
             self.ids.append(np.array([self.words.setdefault(w, len(self.words) + 1) for w in words], np.int64))
-        for k, ids in enumerate(self.ids):
-            for offset, code in zip(*self.grams(ids)) if len(ids) >= N else []:
-                self.places.setdefault(int(code), []).append((k, int(offset)))
-        self.codes = np.array(sorted(self.places), np.int64)
+        grams = [self.grams(ids) for ids in self.ids]
+        if grams:
+            codes = np.concatenate([c for _, c in grams])
+            order = np.argsort(codes, kind="stable")
+            self.item = np.repeat(np.arange(len(grams)), [len(c) for _, c in grams])[order]
+            self.offset = np.concatenate([at for at, _ in grams])[order]
+            self.codes, counts = np.unique(codes, return_counts=True)
+            self.first = np.concatenate([[0], np.cumsum(counts)])
+        sizes = [len(ids) for ids in self.ids]
+        least = [math.ceil(needed(n) - 1e-9) for n in sizes]
+        self.need = np.array([max(1, 2 * s - n - (N - 1)) for s, n in zip(least, sizes)], np.int64)
+        self.drift = np.array([n - s for s, n in zip(least, sizes)], np.int64)
 
     def grams(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, code) of the n-grams without unknown words (id 0)."""
@@ -75,20 +89,11 @@ class Block:
             code = code * (len(self.words) + 1) + ids[at + k]
         return at, code
 
-    def seeds(self, documents: dict[int, int]) -> np.ndarray:
-        chosen = set()
-        for ids in self.ids:
-            _, codes = self.grams(ids)
-            order = [(documents.get(int(c), 0), int(c)) for c in codes]
-            for at in range(max(1, len(order) - WINDOW + 1) if order else 0):
-                chosen.add(min(order[at : at + WINDOW])[1])
-        return np.array(sorted(chosen), np.int64)
-
     def short(self) -> list[int]:
         return [k for k, ids in enumerate(self.ids) if 0 < len(ids) < N]
 
-    def hits(self, texts: list[str | None], wanted: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(document number, its word ids, positions, codes) for documents that hold wanted n-grams."""
+    def hits(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(document number, its word ids, positions of seeds, numbers of their codes) for documents that hold any."""
         lists = [_WORD.findall(lowered(t)) if t else [] for t in texts]
         sizes = np.array([len(x) + 1 for x in lists])
         starts = np.cumsum(sizes) - sizes
@@ -96,17 +101,39 @@ class Block:
         for start, words in zip(starts, lists):  # a zero stays between documents
             ids[start : start + len(words)] = np.fromiter(map(self.words.get, words, repeat(0)), np.int64, len(words))
         at, code = self.grams(ids)
-        if len(wanted):
-            near = np.minimum(np.searchsorted(wanted, code), len(wanted) - 1)
-            on = wanted[near] == code
-            at, code = at[on], code[on]
+        if len(self.codes):
+            near = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            on = self.codes[near] == code
+            at, code = at[on], near[on]
         else:
             at, code = at[:0], code[:0]
         of = np.searchsorted(starts, at, "right") - 1
         for number in np.unique(of) if not self.short() else range(len(texts)):
-            mine = of == number
+            low, high = np.searchsorted(of, [number, number + 1])
             start = starts[number]
-            yield int(number), ids[start : start + sizes[number] - 1], at[mine] - start, code[mine]
+            yield int(number), ids[start : start + sizes[number] - 1], at[low:high] - start, code[low:high]
+
+    def spots(self, at: np.ndarray, codes: np.ndarray) -> list[tuple[int, int]]:
+        """(item number, diagonal), in order, of the seeds that lie with as many others as a copy has."""
+        counts = self.first[codes + 1] - self.first[codes]
+        place = np.repeat(self.first[codes] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+        item, start = self.item[place], np.repeat(at, counts) - self.offset[place]
+        order = np.lexsort((start, item))
+        item, start = item[order], start[order]
+        last = np.arange(len(item)) + self.need[item] - 1
+        begin = np.flatnonzero(last < len(item))
+        last = last[begin]
+        on = (item[last] == item[begin]) & (start[last] - start[begin] <= self.drift[item[begin]])
+        steps = np.zeros(len(item) + 1, np.int64)
+        np.add.at(steps, begin[on], 1)
+        np.add.at(steps, last[on] + 1, -1)
+        near = np.cumsum(steps[:-1]) > 0
+        return list(zip(item[near].tolist(), start[near].tolist()))
+
+
+def needed(size: int) -> float:
+    """Least score of an item of ``size`` words."""
+    return max(SCORE * size, min(LEAST, size))
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
@@ -134,8 +161,7 @@ def located(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
 def matches(block: Block, ids: np.ndarray, at: np.ndarray, codes: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
     """(item number, score, first word, position after the last word) for the items found in a document."""
     regions: dict[int, list[list[int]]] = {}
-    spots = sorted({(k, int(p) - offset) for p, c in zip(at, codes) for k, offset in block.places[int(c)]})
-    for k, start in spots:
+    for k, start in block.spots(at, codes):
         slack = len(block.ids[k]) // 2 + 2
         low, high = max(0, start - slack), min(len(ids), start + len(block.ids[k]) + slack)
         mine = regions.setdefault(k, [])
@@ -152,7 +178,7 @@ def matches(block: Block, ids: np.ndarray, at: np.ndarray, codes: np.ndarray) ->
         item, best = block.ids[k], None
         for low, high in spans:
             score, first, last = located(item, ids[low:high])
-            if score >= max(SCORE * len(item), min(LEAST, len(item))) and (best is None or score > best[0]):
+            if score >= needed(len(item)) and (best is None or score > best[0]):
                 best = (score, low + first, low + last)
         if best:
             yield k, best[0] / len(item), best[1], best[2]
@@ -168,39 +194,20 @@ def blocks(benchmark: DataFrame) -> Iterator[Block]:
         yield Block([tuple(r) for r in part.orderBy("item_id", "text").collect()])
 
 
-def _prepared(docs: DataFrame, block: Block):
-    """The block and its seeds, sent to the tasks; document counts come from a pass over all texts."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(block)
-
-    def count(batches):
-        block, total = sent.value, {}
-        for batch in batches:
-            for part in slices(batch.column(0)):
-                for _, _, _, codes in block.hits(part.to_pylist(), block.codes):
-                    for code in np.unique(codes).tolist():
-                        total[code] = total.get(code, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["code", "n"])
-
-    counted = docs.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    documents = {r["code"]: r["n"] for r in counted.collect()}  # at most the block's own n-grams
-    return spark.sparkContext.broadcast((block, block.seeds(documents)))
-
-
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, start, end): items found in documents, with the passage in code points."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     out = docs.sparkSession.createDataFrame([], _FOUND)
     for block in blocks(benchmark):
-        sent = _prepared(rows, block)
+        sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, sent=sent):
-            block, seeds = sent.value
+            block = sent.value
             for batch in batches:
                 found, done = [], 0
                 for part in slices(batch.column(1)):
                     texts = part.to_pylist()
-                    for number, *hit in block.hits(texts, seeds):
+                    for number, *hit in block.hits(texts):
                         for k, score, first, last in matches(block, *hit):
                             spans = [m.span() for m in _WORD.finditer(lowered(texts[number]))]
                             doc = batch.column(0)[done + number].as_py()
@@ -219,15 +226,15 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds none of the items."""
     at = docs.columns.index("text")
     for block in blocks(benchmark):
-        sent = _prepared(docs, block)
+        sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, sent=sent):
-            block, seeds = sent.value
+            block = sent.value
             for batch in batches:
                 keep, done = np.ones(batch.num_rows, bool), 0
                 for part in slices(batch.column(at)):
                     texts = part.to_pylist()
-                    for number, *hit in block.hits(texts, seeds):
+                    for number, *hit in block.hits(texts):
                         keep[done + number] = next(matches(block, *hit), None) is None
                     done += len(texts)
                 yield batch.filter(pa.array(keep))

@@ -62,3 +62,27 @@ def test_edge_rows(spark, monkeypatch, items_in_block):
     assert op.find(docs, bench.where("false")).count() == 0 and op.find(docs.where("false"), bench).count() == 0
     passage = next(r for r in op.find(docs, bench).collect() if r.doc_id == 1)
     assert rows[0][1][passage.start : passage.end] == " ".join(words)
+
+
+@pytest.mark.parametrize("size", [9, 13, 18, 24, 39, 60])
+def test_lone_edited_copies(spark, size):
+    rng = np.random.default_rng(size)
+    items, rows, want = [], [], set()
+    for k in range(60):
+        item = [f"i{size}_{k}_{w}" for w in range(size)]
+        items.append((k, " ".join(item)))
+        copy = []
+        every, kind = 5 + k % 4, k // 4 % 4  # substituted, left out, put in, or all of these
+        for place, word in enumerate(item):
+            edit = (kind if kind < 3 else int(rng.integers(3))) if place % every == every - 1 else None
+            copy += [f"new{k}_{place}"] if edit == 0 else [] if edit == 1 else [word, f"new{k}_{place}"] if edit == 2 else [word]
+        number = {w: n for n, w in enumerate(item, 1)}
+        score = full_alignment([number[w] for w in item], [number.get(w, 0) for w in copy])
+        if score >= max(op.SCORE * size, min(op.LEAST, size)):
+            want.add((k, k, score))
+        rows.append((k, " ".join(["own words", *copy, "more own words"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id, round(r.score * size)) for r in op.find(docs, bench).collect()} == want and want
+    kept = {r.doc_id for r in op.without_leaks(docs, bench).collect()}
+    assert kept == set(range(60)) - {k for k, _, _ in want}
