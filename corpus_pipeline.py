@@ -18,11 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: Jaccard similarity of five-word shingle sets 0.8 or more, on the texts.
-
-    Sets of similarity 0.8 have a cosine of 8 / 9 or, in 256 bits, about 39 +- 6 differing ones; candidates reach to 56.
-    """
-    return op1_simhash.deduplicated(docs, size=5, bits=256, radius=56, least=0.8)
+    """One document of each group whose fingerprints (three-word shingles, 64 bits) link at two differing bits or fewer."""
+    return op1_simhash.deduplicated(docs, size=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +50,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn, from ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in turn, from ``documents``. Once a stage's result is written, all that was written for it is deleted."""
+    docs, earlier = spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch.written()
     for name, stage in STAGES:
-        docs = scratch.materialize(stage(spark, docs, sf_dir), name)
+        docs, path = scratch.stored(stage(spark, docs, sf_dir), name)
+        scratch.delete(spark, *(scratch.written() - earlier - {path}))
     return docs

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _LOCAL: dict[str, str] = {}
+_WRITTEN: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -43,13 +44,20 @@ def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """As ``materialize``, with the path, so that ``delete`` can end the table's life."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    _WRITTEN.add(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def written() -> set[str]:
+    """Paths of the tables that this process has written and not yet deleted."""
+    return set(_WRITTEN)
+
+
 def delete(spark: SparkSession, *paths: str) -> None:
     """Remove written tables that nothing reads any more, in whatever store they are."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(conf).delete(where, True)
+        _WRITTEN.discard(path)
