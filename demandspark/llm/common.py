@@ -12,11 +12,20 @@ from pyspark.sql import functions as F
 
 from demandspark.sources import scratch
 
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table; only these reach the scan."""
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def slices(texts: pa.Array) -> Iterator[pa.Array]:
     """Consecutive texts of about a megabyte in all, so that few words are held at a time."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))

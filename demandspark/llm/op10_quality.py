@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import slices, table
+from demandspark.llm.common import fresh, slices, table
 
 #: Bound on the labelled rows that are learned from.
 SAMPLE = 3000
@@ -185,7 +185,8 @@ def score(
 
 def accepted(docs: DataFrame, weights: np.ndarray, bias: float, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that score at least ``threshold``."""
-    return score(docs, weights, bias, tuple(docs.columns), "_score").where(F.col("_score") >= threshold).drop("_score")
+    name = fresh(docs, "score")
+    return score(docs, weights, bias, tuple(docs.columns), name).where(F.col(name) >= threshold).drop(name)
 
 
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,26 +1,21 @@
 """Near-duplicates by SimHash: whole texts to fingerprints, tiles of fingerprints compared exactly.
 
-Fingerprints of ``bits`` bits come from word shingles. Equal fingerprints are one row from then
-on. Rows are dealt into groups inside which every pair within the radius must meet, groups are
-cut into tiles of bounded size, and numpy compares tiles by exclusive-or and bit counts. Tile
-pairs whose population counts differ beyond the radius are never made.
-
-Groups: two words at most ``radius`` bits apart agree in one of ``radius + 1`` segments, so where
-such a segment has at least 12 bits a row goes to one group per segment value. This is exact and
-keeps the comparison near-linear. With wider radii all rows are one group and only population
-counts and lengths prune, so the work grows with the square of the different fingerprints.
-
-``verified`` takes links within a radius as candidates only. It splits groups of candidates into blocks of
-bounded size and links two texts whose sets of different shingles have the wanted Jaccard similarity.
+Fingerprints of 64 bits come from word shingles. Equal fingerprints are one row from then on. Two
+words at most ``radius`` bits apart agree in one of ``radius + 1`` segments, so where such a segment
+has at least 12 bits a row goes to one group per segment value; this is exact and keeps the
+comparison near-linear. With wider radii all rows are one group. The rows of a group are ordered by
+population count and cut into tiles. Tiles are compared by exclusive-or and bit counts in numpy, and
+a tile pair whose population counts differ beyond the radius is never made. Groups within ``TILE`` rows
+are compared where they lie; the tile pairs of larger ones are spread over the cluster by a join.
 
 Defined cases: a null text counts as empty; an empty text has fingerprint zero and is linked like
 any other; a row without id is returned with a null component and links with nothing; repeated
-rows stay; other columns are ignored.
+rows stay; rows of one id with unlike texts are documents of their own, each in its own text's
+component; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 from itertools import repeat
 
 import numpy as np
@@ -30,17 +25,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import components, table
+from demandspark.llm.common import components, fresh, table
 from demandspark.sources import scratch
 
-#: Rows of a tile: a tile pair is compared in blocks, in a few MB.
-TILE = 4096
+#: Rows of a tile that is sent over the cluster, and of those that are compared where they lie.
+TILE, SIDE = 4096, 64
 #: Segments shorter than this would gather too many unrelated rows.
 SEGMENT_BITS = 12
-#: Texts with at most so many different shingles also become candidates by their smallest hashes, which misses none.
-SHORT = 128
-#: Bounds of a block of candidates, in texts and in shingles.
-BLOCK_ROWS, BLOCK_SHINGLES = 256, 1 << 20
+#: Tile pairs compared at a time.
+PAIRS = 256
 
 
 def shingles(text: str | None, size: int) -> list[bytes]:
@@ -51,306 +44,199 @@ def shingles(text: str | None, size: int) -> list[bytes]:
     return list(map(b" ".join, zip(*(words[i:] for i in range(size)))))
 
 
-def fingerprint(pieces: list[bytes], bits: int) -> np.ndarray:
-    """``bits / 64`` words; a bit is set if it is in over half of the hashes (XXH64, seeds 42, 43, ...)."""
-    words = []
-    for seed in range(42, 42 + bits // 64):
-        h = np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(seed)), np.uint64, len(pieces)).astype(">u8")
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(h), 1 << 16):
-            part = h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
-            ones += np.unpackbits(part, axis=1).sum(0, dtype=np.int64)
-        words.append(np.packbits(ones * 2 > len(h)).view(">u8")[0])
-    return np.array(words, np.uint64).view(np.int64)
+def fingerprint(pieces: list[bytes]) -> int:
+    """Signed 64-bit word; a bit is set if it is in over half of the hashes (XXH64, seed 42)."""
+    h = np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(42)), np.uint64, len(pieces)).astype(">u8")
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(h), 1 << 16):
+        part = h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1).sum(0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(h)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 3, bits: int = 64) -> DataFrame:
-    """(doc_id, words array<long>, n): fingerprint and number of shingles of every text, in over 64 bits of different ones."""
+def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
+    """(doc_id, own, word): a hash of the row's columns and the fingerprint of its text."""
 
     def run(batches):
         for batch in batches:
-            words, counts = [], []
-            for text in batch.column(1).to_pylist():
-                pieces = shingles(text, size)
-                pieces = list(set(pieces)) if bits > 64 else pieces  # a line that occurs often counts once
-                words.append(fingerprint(pieces, bits).tolist())
-                counts.append(len(pieces))
-            columns = [batch.column(0), pa.array(words, pa.list_(pa.int64())), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "words", "n"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, words array<long>, n long")
-
-
-def near_duplicates(
-    docs: DataFrame, size: int = 3, bits: int = 64, radius: int = 2, ratio: float | None = None
-) -> DataFrame:
-    """(doc_id, words, component_id): the smallest doc_id reachable over links within ``radius`` bits.
-
-    ``ratio``: fingerprints whose numbers of shingles differ by more than this factor are not compared
-    (a Jaccard similarity of x needs sizes within a factor x). The comparison then also covers them
-    in bands of that factor, so no pair inside it is missed.
-    """
-    prints = scratch.materialize(fingerprints(docs, size, bits), "fingerprints")
-    by_bits = prints.where("doc_id is not null").groupBy("words")
-    distinct = by_bits.agg(F.min("doc_id").alias("node"), F.min("n").alias("low"), F.max("n").alias("n"))
-    distinct = scratch.materialize(distinct, "distinct-fingerprints")
-    roots = components(scratch.materialize(links(distinct, bits, radius, ratio), "fingerprint-links"))
-    named = distinct.join(roots, "node", "left").select("words", F.coalesce("root", "node").alias("component_id"))
-    return prints.select("doc_id", "words").join(named, "words", "left").select(
-        "doc_id", "words", F.expr("if(doc_id is null, null, component_id)").alias("component_id")
-    )
+            words = [fingerprint(shingles(text, size)) for text in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.int64())], ["doc_id", "own", "word"])
 
+    rows = docs.select(F.col("doc_id").cast("long"), own_hash(docs).alias("own"), "text")
+    return rows.mapInArrow(run, "doc_id long, own long, word long")
 
-def _hashes(pieces: set[bytes]) -> np.ndarray:
-    """Sorted hashes of different shingles."""
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, pieces), np.uint64, len(pieces)))
 
+def own_hash(docs: DataFrame) -> Column:
+    """Hash of a row's columns (maps and variants can't be hashed and are left out)."""
+    return F.xxhash64(*[f.name for f in docs.schema if not f.dataType.simpleString().startswith(("map", "variant"))])
 
-def _prefix(n: int, least: float) -> int:
-    """Sets that reach ``least`` share one of so many smallest elements of each."""
-    return n - math.ceil(least * n - 1e-9) + 1 if n else 0
 
+def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFrame:
+    """(doc_id, own, word, root, component_id): the component's smallest fingerprint and smallest doc_id.
 
-def _sets(docs: DataFrame, size: int, bits: int, least: float) -> DataFrame:
-    """(doc_id, key, words, n, low): digest and fingerprint of every shingle set; smallest hashes of a short one."""
-
-    def run(batches):
-        for batch in batches:
-            keys, words, counts, low = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                pieces = set(shingles(text, size))
-                hashes = _hashes(pieces)
-                keys.append(xxhash.xxh3_128_hexdigest(hashes.tobytes()))
-                words.append(fingerprint(list(pieces), bits).tolist())
-                counts.append(len(hashes))
-                low.append(hashes[: _prefix(len(hashes), least)].view(np.int64).tolist() if len(hashes) <= SHORT else [])
-            longs = pa.list_(pa.int64())
-            columns = [batch.column(0), pa.array(keys, pa.string()), pa.array(words, longs), pa.array(counts, pa.int64()), pa.array(low, longs)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "words", "n", "low"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, key string, words array<long>, n long, low array<long>"
-    )
-
-
-def verified(docs: DataFrame, size: int, bits: int, radius: int, least: float) -> DataFrame:
-    """(doc_id, component_id): the smallest doc_id reachable over pairs of Jaccard similarity ``least`` or more.
-
-    Candidates are texts whose fingerprints of different shingles lie within ``radius`` bits, and short ones that
-    share one of their smallest hashes. Equal sets are one row from the start.
+    Components are reached over links of at most ``radius`` differing bits.
     """
-    sets = scratch.materialize(_sets(docs, size, bits, least), "shingle-sets")
-    distinct = sets.where("doc_id is not null").groupBy("key").agg(
-        F.min("doc_id").alias("node"), F.first("words").alias("words"), F.first("n").alias("n"), F.first("low").alias("low")
-    )
-    distinct = scratch.materialize(distinct, "distinct-sets")
-    shared = distinct.select("node", F.explode("low").alias("hash"))
-    ends = shared.groupBy("hash").agg(F.min("node").alias("b")).join(shared, "hash").select(F.col("node").alias("a"), "b")
-    near = links(distinct.select("node", "words", "n"), bits, radius, least).unionByName(ends.where("a <> b"))
-    groups = components(scratch.materialize(near, "candidate-links"))
-
-    rows = distinct.select("node", "key", "words", "n").join(groups, "node")
-    cuts = rows.groupBy("root").agg(
-        F.expr(f"int(greatest(ceil(count(*) / {BLOCK_ROWS}), ceil(sum(n) / {BLOCK_SHINGLES})))").alias("cuts")
-    )
-    rows = rows.join(cuts, "root").withColumn("cut", F.expr("int(pmod(xxhash64(key), cuts))"))
-    rows = scratch.materialize(rows, "candidates")
-
-    def run(batches):
-        for batch in batches:
-            held = [_hashes(set(shingles(text, size))) for text in batch.column(1).to_pylist()]
-            keys = [xxhash.xxh3_128_hexdigest(h.tobytes()) for h in held]
-            hashes = pa.array([h.view(np.int64) for h in held], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.string()), hashes], ["node", "key", "hashes"])
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(rows.select("node").distinct(), "node", "left_semi")
-    texts = texts.mapInArrow(run, "node long, key string, hashes array<long>").dropDuplicates(["node", "key"])
-    other = F.explode(F.expr("sequence(0, cuts - 1)"))
-    dealt = rows.join(texts, ["node", "key"]).withColumn("other", other).select(
-        "root", F.least("cut", "other").alias("x"), F.greatest("cut", "other").alias("y"), "cut", "node", "words", "n", "hashes"
-    )
-    same = dealt.groupBy("root", "x", "y").applyInPandas(lambda pdf: _similar(pdf, radius, least), "a long, b long")
-    roots = components(scratch.materialize(same, "similar-texts"))
-    named = distinct.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component_id"))
-    return sets.select("doc_id", "key").join(named, "key", "left").select(
-        "doc_id", F.expr("if(doc_id is null, null, component_id)").alias("component_id")
+    prints = scratch.materialize(fingerprints(docs, size), "fingerprints")
+    by_word = prints.where("doc_id is not null").groupBy("word").agg(F.min("doc_id").alias("least"))
+    distinct = scratch.materialize(by_word, "distinct-fingerprints")
+    roots = components(scratch.materialize(links(distinct, radius), "fingerprint-links"))
+    linked = distinct.join(roots.withColumnRenamed("node", "word"), "word")
+    smallest = linked.groupBy("root").agg(F.min("least").alias("least"))
+    named = linked.select("word", "root").join(smallest, "root").select("word", "root", "least")
+    single = distinct.join(roots.select(F.col("node").alias("word")), "word", "left_anti")
+    named = named.unionByName(single.select("word", F.col("word").alias("root"), "least"))
+    return prints.join(named, "word", "left").select(
+        "doc_id", "own", "word", "root", F.expr("if(doc_id is null, null, least)").alias("component_id")
     )
 
 
-def _similar(pdf: pd.DataFrame, radius: int, least: float) -> pd.DataFrame:
-    """Links of one block with itself or another. Pairs that earlier links join need no look at their sets."""
-    cut, node, n, bits = pdf["cut"].to_numpy(), pdf["node"].to_numpy(), pdf["n"].to_numpy(), _bits(pdf["words"])
-    held = [np.asarray(h, np.int64) for h in pdf["hashes"]]
-    label = pd.Series(np.arange(len(pdf))).groupby(node).transform("min").to_numpy(copy=True)
-    across = cut.min() != cut.max()
-    found = []
-    for i in range(1, len(pdf)):
-        far = _within(bits[i], bits[:i])
-        on = ((far <= radius) | (np.maximum(n[i], n[:i]) <= SHORT)) & (np.minimum(n[i], n[:i]) >= least * np.maximum(n[i], n[:i]) - 1e-9)
-        js = np.flatnonzero(on & ~(across & (cut[:i] == cut[i])))
-        for j in js[np.argsort(far[js], kind="stable")]:
-            if label[i] == label[j]:
-                continue
-            both = len(np.intersect1d(held[i], held[j], assume_unique=True))
-            if both >= least * (len(held[i]) + len(held[j]) - both) - 1e-9:
-                found.append((node[i], node[j]))
-                label[label == label[i]] = label[j]
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-
-def deduplicated(docs: DataFrame, **how) -> DataFrame:
-    """One row of ``docs``, all columns, of each verified component: that of its smallest doc_id. Rows without id stay."""
-    found = verified(docs, **how)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+def deduplicated(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFrame:
+    """One row of ``docs``, all columns, of each component: that of its smallest doc_id. Rows without id stay."""
+    found = near_duplicates(docs, size, radius).where("doc_id is not null")
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "own")).alias("first")).select("first.*")
+    number, own = fresh(docs, "number"), fresh(docs, "own")
+    first = first.select(F.col("doc_id").alias(number), F.col("own").alias(own))
+    rows = docs.withColumns({number: F.col("doc_id").cast("long"), own: own_hash(docs)})
+    kept = rows.join(first, [number, own], "left_semi").dropDuplicates([number, own])
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
-def links(distinct: DataFrame, bits: int, radius: int, ratio: float | None) -> DataFrame:
-    """Links (a, b) that join the same rows as all pairs within ``radius`` bits do, of (node, words, n)."""
-    rows = distinct.select(
-        "node", "words", "n", F.expr("aggregate(words, 0, (s, w) -> s + bit_count(w))").alias("ones")
-    )
-    if bits == 64 and 64 // (radius + 1) >= SEGMENT_BITS:
-        rows = rows.withColumn("segment", F.explode(_segments(radius + 1))).select("*", "segment.*").drop("segment")
+def links(distinct: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b) that join the same fingerprints (column ``word``) as all pairs within ``radius`` bits do."""
+    rows = distinct.select("word", F.bit_count("word").alias("ones"))
+    if 64 // (radius + 1) >= SEGMENT_BITS:
+        rows = rows.withColumn("segment", F.explode(_segments(radius + 1))).select("word", "ones", "segment.*")
     else:
-        rows = rows.select("*", F.lit(0).alias("part"), F.lit(0).cast("long").alias("value"))
+        rows = rows.select("word", "ones", F.lit(0).alias("part"), F.lit(0).cast("long").alias("value"))
     width = max(1, radius // 4)
-    band = F.floor(F.log(F.greatest("n", F.lit(1))) / F.log(F.lit(1 / ratio))) if ratio else F.lit(0)
-    rows = rows.withColumn("band", band.cast("int")).withColumn("step", F.expr(f"int(ones div {width})"))
-    cells = rows.groupBy("part", "value", "band", "step").agg(F.count("*").alias("filled"))
+    rows = rows.withColumn("step", F.expr(f"int(ones div {width})"))
+    cells = rows.groupBy("part", "value", "step").agg(F.count("*").alias("filled"))
     groups = cells.groupBy("part", "value").agg(F.sum("filled").alias("total")).where("total > 1")
     groups = scratch.materialize(groups, "fingerprint-groups")
 
-    alone = rows.join(groups.where(f"total <= {TILE}").select("part", "value"), ["part", "value"])
-    alone = alone.select("part", "value", "ones", "node", "words", "n")
-    alone = alone.repartition("part", "value").sortWithinPartitions("part", "value", "ones")
-    swept = alone.mapInPandas(lambda it: _sweep(it, radius, ratio), "a long, b long")
+    near = rows.join(groups.where(f"total <= {TILE}").select("part", "value"), ["part", "value"])
+    near = near.select("part", "value", "ones", "word")
+    near = near.repartition("part", "value").sortWithinPartitions("part", "value", "ones")
+    here = near.mapInPandas(lambda frames: _here(frames, radius), "a long, b long")
 
     large = groups.where(f"total > {TILE}").select("part", "value")
     tiles = cells.join(large, ["part", "value"]).withColumn("cuts", F.expr(f"int(ceil(filled / {TILE}))"))
     tiles = scratch.materialize(tiles, "fingerprint-tiles")
     one = tiles.withColumn("cut", F.explode(F.expr("sequence(0, cuts - 1)"))).drop("filled", "cuts")
-    reach = F.explode(F.expr("sequence(band - 1, band + 1)")) if ratio else F.col("band")
-    left = one.select("part", "value", "band", "step", "cut", reach.alias("near"))
-    right = one.select("part", "value", F.col("band").alias("near"), F.col("step").alias("step2"), F.col("cut").alias("cut2"))
-    ahead = F.expr("struct(band as x, step as y, cut as z) <= struct(near as x, step2 as y, cut2 as z)")
-    apart = F.expr(f"abs(step - step2) * {width} < {radius + width}")
-    pairs = left.join(right, ["part", "value", "near"]).where(ahead & apart)
-    pairs = pairs.withColumn("pair", F.xxhash64("part", "value", "band", "step", "cut", "near", "step2", "cut2"))
-    first = pairs.select("part", "value", "band", "step", "cut", "pair", F.lit(0).alias("side"))
+    reach = F.explode(F.expr(f"sequence(step, step + {(radius + width - 1) // width})"))
+    left = one.select("part", "value", "step", "cut", reach.alias("step2"))
+    right = one.select("part", "value", F.col("step").alias("step2"), F.col("cut").alias("cut2"))
+    pairs = left.join(right, ["part", "value", "step2"]).where("step < step2 or cut <= cut2")
+    pairs = pairs.withColumn("pair", F.xxhash64("part", "value", "step", "cut", "step2", "cut2"))
+    first = pairs.select("part", "value", "step", "cut", "pair", F.lit(0).alias("side"))
     second = pairs.select(
-        "part", "value", F.col("near").alias("band"), F.col("step2").alias("step"), F.col("cut2").alias("cut"), "pair",
-        F.lit(1).alias("side"),
+        "part", "value", F.col("step2").alias("step"), F.col("cut2").alias("cut"), "pair", F.lit(1).alias("side")
     )
-    keys = ["part", "value", "band", "step"]
-    cut = rows.join(tiles.select(*keys, "cuts"), keys).withColumn("cut", F.expr("int(pmod(xxhash64(node), cuts))"))
-    dealt = cut.join(first.unionByName(second), [*keys, "cut"]).select("pair", "side", "node", "words", "n")
-    tiled = dealt.groupBy("pair").applyInPandas(lambda pdf: _tiles(pdf, radius, ratio), "a long, b long")
-    return swept.unionByName(tiled)
+    keys = ["part", "value", "step"]
+    cut = rows.join(tiles.select(*keys, "cuts"), keys).withColumn("cut", F.expr("int(pmod(xxhash64(word), cuts))"))
+    dealt = cut.join(first.unionByName(second), [*keys, "cut"]).select("pair", "side", "word")
+    tiled = dealt.groupBy("pair").applyInPandas(lambda pdf: _tiles(pdf, radius), "a long, b long")
+    return here.unionByName(tiled)
 
 
 def _segments(parts: int) -> Column:
     bounds = [64 * i // parts for i in range(parts + 1)]
     made = (
-        f"struct({i} as part, shiftrightunsigned(words[0], {low}) & {(1 << (high - low)) - 1}L as value)"
+        f"struct({i} as part, shiftrightunsigned(word, {low}) & {(1 << (high - low)) - 1}L as value)"
         for i, (low, high) in enumerate(zip(bounds, bounds[1:]))
     )
     return F.expr(f"array({', '.join(made)})")
 
 
-def _bits(column: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(w, np.int64) for w in column]).view(np.uint64)
-
-
-def _within(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
-
-
-def _forest(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Smallest reachable position of each of n positions over the pairs."""
+def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest reachable position of each of n positions over the pairs (i, j)."""
     label = np.arange(n)
-    if pairs:
-        i, j = (np.concatenate(x) for x in zip(*pairs))
-        while True:
-            a, b = label[i], label[j]
-            low = np.minimum(a, b)
-            if (a == b).all():
-                break
-            np.minimum.at(label, np.maximum(a, b), low)
-            while (label[label] != label).any():
-                label = label[label]
-    return label
-
-
-def _links(node: np.ndarray, label: np.ndarray) -> pd.DataFrame:
-    on = np.flatnonzero(label != np.arange(len(label)))
-    return pd.DataFrame({"a": node[on], "b": node[label[on]]})
+    while True:
+        a, b = label[i], label[j]
+        if (a == b).all():
+            return label
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label = label[label]
 
 
-def _sizes_near(n: np.ndarray, i, j, ratio: float | None) -> np.ndarray | bool:
-    return True if ratio is None else np.minimum(n[i], n[j]) >= ratio * np.maximum(n[i], n[j])
+def _links(word: np.ndarray, label: np.ndarray) -> pd.DataFrame:
+    on = np.flatnonzero(label != np.arange(len(label)))
+    return pd.DataFrame({"a": word[on], "b": word[label[on]]})
 
 
-def _sweep(frames, radius: int, ratio: float | None):
-    """Groups of up to a tile, sorted by group and population count: row i against i + 1, i + 2, ..."""
+def _here(frames, radius: int):
+    """Groups of up to ``TILE`` rows, sorted by group and population count; whole groups at a time."""
     rest = None
     for frame in frames:
-        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-        last = (frame["part"] == frame["part"].iloc[-1]) & (frame["value"] == frame["value"].iloc[-1]) if len(frame) else None
-        if last is None:
+        if not len(frame):
             continue
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        last = (frame["part"] == frame["part"].iloc[-1]) & (frame["value"] == frame["value"].iloc[-1])
         rest = frame[last]
-        yield from _swept(frame[~last], radius, ratio)
+        yield _side_by_side(frame[~last], radius)
     if rest is not None:
-        yield from _swept(rest, radius, ratio)
+        yield _side_by_side(rest, radius)
 
 
-def _swept(frame: pd.DataFrame, radius: int, ratio: float | None):
-    if len(frame) < 2:
-        return
-    bits, ones = _bits(frame["words"]), frame["ones"].to_numpy()
-    node, n = frame["node"].to_numpy(), frame["n"].to_numpy()
+def _side_by_side(frame: pd.DataFrame, radius: int) -> pd.DataFrame:
+    """Tiles of ``SIDE`` consecutive rows against themselves and the tiles behind them.
+
+    A pair of tiles is compared if the second begins in the group in which the first ends, and with
+    a population count within the radius of the first one's last.
+    """
+    word, ones = frame["word"].to_numpy(), frame["ones"].to_numpy()
     part, value = frame["part"].to_numpy(), frame["value"].to_numpy()
-    i, step, pairs, held, label = np.arange(len(frame) - 1), 1, [], 0, None
-    while len(i):
-        i = i[i + step < len(frame)]
-        j = i + step
-        on = (part[i] == part[j]) & (value[i] == value[j]) & (ones[j] - ones[i] <= radius)
-        i, j = i[on], j[on]
-        hit = (_within(bits[i], bits[j]) <= radius) & _sizes_near(n, i, j, ratio)
-        pairs.append((i[hit], j[hit]))
-        held += int(hit.sum())
-        if held > 1 << 20:
-            label, held = _forest(len(frame), pairs), 0
-            pairs = [(np.arange(len(frame)), label)]
-        step += 1
-    yield _links(node, _forest(len(frame), pairs))
-
-
-def _tiles(pdf: pd.DataFrame, radius: int, ratio: float | None) -> pd.DataFrame:
+    n, tiles = len(frame), -(-len(frame) // SIDE)
+    if n < 2:
+        return _links(word, np.arange(n))
+    group = np.concatenate([[0], np.cumsum((part[1:] != part[:-1]) | (value[1:] != value[:-1]))])
+    padded = np.full(tiles * SIDE, -1)
+    padded[:n] = group
+    bits = np.zeros(tiles * SIDE, np.uint64)
+    bits[:n] = word.view(np.uint64)
+    padded, bits = padded.reshape(tiles, SIDE), bits.reshape(tiles, SIDE)
+    start = np.arange(tiles) * SIDE
+    end = np.minimum(start + SIDE, n) - 1
+    label, apart = np.arange(n), 0
+    while apart < tiles:
+        s = np.arange(tiles - apart)
+        if apart:
+            s = s[(group[end[s]] == group[start[s + apart]]) & (ones[start[s + apart]] - ones[end[s]] <= radius)]
+            if not len(s):
+                break  # tiles further apart differ more
+        for at in range(0, len(s), PAIRS):
+            a = s[at : at + PAIRS]
+            on = np.bitwise_count(bits[a][:, :, None] ^ bits[a + apart][:, None, :]) <= radius
+            on &= (padded[a][:, :, None] == padded[a + apart][:, None, :]) & (padded[a][:, :, None] >= 0)
+            pair, i, j = np.nonzero(on)
+            i, j = a[pair] * SIDE + i, (a[pair] + apart) * SIDE + j
+            new = i < j
+            if new.any():
+                order = np.arange(n)
+                label = _forest(n, np.concatenate([i[new], order]), np.concatenate([j[new], label]))
+        apart += 1
+    return _links(word, label)
+
+
+def _tiles(pdf: pd.DataFrame, radius: int) -> pd.DataFrame:
     """One tile against another, or against itself, in blocks of rows."""
-    side = pdf["side"].to_numpy()
-    node, n, bits = pdf["node"].to_numpy(), pdf["n"].to_numpy(), _bits(pdf["words"])
+    side, word = pdf["side"].to_numpy(), pdf["word"].to_numpy()
+    bits = word.view(np.uint64)
     a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    label = np.arange(len(pdf))
+    everyone = np.arange(len(pdf))
+    same = pd.Series(everyone).groupby(word).transform("min").to_numpy()  # a tile against itself
+    label = _forest(len(pdf), everyone, same)
     for at in range(0, len(a), 128):
-        block, pairs = a[at : at + 128], []
-        far = np.zeros((len(block), len(b)), np.uint8)
-        for k in range(min(2, bits.shape[1])):  # most pairs are told apart by the first words
-            far += np.bitwise_count(bits[block, None, k] ^ bits[None, b, k])
-        i, j = np.nonzero(far <= radius)
+        block = a[at : at + 128]
+        i, j = np.nonzero(np.bitwise_count(bits[block, None] ^ bits[None, b]) <= radius)
         i, j = block[i], b[j]
-        on = (_within(bits[i], bits[j]) <= radius) & _sizes_near(n, i, j, ratio) & (i != j)
-        if on.any():
-            label = _forest(len(pdf), [(i[on], j[on]), (np.arange(len(pdf)), label)])
-    order = pd.Series(np.arange(len(pdf))).groupby(node).transform("min").to_numpy()  # a tile against itself
-    return _links(node, _forest(len(pdf), [(np.arange(len(pdf)), label), (np.arange(len(pdf)), order)]))
+        if len(i):
+            label = _forest(len(pdf), np.concatenate([i, everyone]), np.concatenate([j, label]))
+    return _links(word, label)
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's fingerprint (hex) and component at up to two differing bits."""
     found = near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
-    return found.select(
-        "doc_id", F.expr("lower(lpad(hex(words[0]), 16, '0'))").alias("fingerprint"), "component_id"
-    )
+    return found.select("doc_id", F.expr("lower(lpad(hex(word), 16, '0'))").alias("fingerprint"), "component_id")

@@ -154,8 +154,7 @@ def report(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, with ``[EMAIL]``, ``[IP]``, ``[CARD]`` or ``[PHONE]`` in place of spans; n_chars follows."""
     columns = docs.columns
-    own = docs.select(*columns, F.struct(*columns).alias("_own"))
-    found = with_spans(own.select("text", "_own"), "_own")
+    found = with_spans(docs.select("text", F.struct(*columns).alias("_own")), "_own")
     names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
     ordered = "array_sort(transform(concat(base, added), x -> struct(x.start as start, x.end as end, x.kind as kind)))"
     text = (

@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 import xxhash
 
-import corpus_pipeline
 from demandspark.llm import op1_simhash as op
 from demandspark.llm.registry import QUERIES
 
@@ -38,83 +37,66 @@ def test_query_against_plain_python(spark, folder):
     assert got == brute(rows)
 
 
-@pytest.mark.parametrize("tile", [4096, 8])
-def test_edge_rows_and_small_tiles(spark, monkeypatch, tile):
+@pytest.mark.parametrize(("tile", "side"), [(4096, 64), (4096, 3), (8, 2)])
+def test_edge_rows_and_small_tiles(spark, monkeypatch, tile, side):
     monkeypatch.setattr(op, "TILE", tile)
+    monkeypatch.setattr(op, "SIDE", side)
     rng = np.random.default_rng(1)
     base = [" ".join(rng.choice(list("abcdefgh"), 30)) for _ in range(12)]
     rows = [(i, base[i % 12] + (" x" if i % 5 == 0 else "")) for i in range(150)]
     rows += [(200, None), (201, ""), (202, " \t\n"), (203, "Two Words"), (204, "two words"), (205, "One"), (205, "One")]
     rows += [(206, "lorem " * 70_000)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "1 as words", "2 as n")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "1 as word", "2 as own", "3 as ROOT")
     got = op.near_duplicates(docs).collect()
     assert len(got) == len(rows)
     want = brute(rows)
     for r in got:
-        assert (f"{r[1][0] & (2**64 - 1):016x}", r[2]) == want[r[0]]
+        assert (f"{r.word & (2**64 - 1):016x}", r.component_id) == want[r.doc_id]
 
 
-def test_null_ids_and_no_rows(spark):
-    docs = spark.createDataFrame([(None, "a b c"), (1, "a b c")], "doc_id long, text string")
-    assert sorted(map(str, (r[2] for r in op.near_duplicates(docs).collect()))) == ["1", "None"]
-    assert op.near_duplicates(docs.where("false")).count() == 0
-
-
-@pytest.mark.parametrize("tile", [4096, 16])
-def test_wide_radius_finds_similar_texts(spark, monkeypatch, tile):
+@pytest.mark.parametrize(("tile", "side", "radius"), [(4096, 64, 3), (4096, 7, 4), (64, 5, 2), (4096, 16, 9), (32, 16, 9)])
+def test_links_of_random_words(spark, monkeypatch, tile, side, radius):
+    """Clusters of words a few bits apart, against the exclusive-or of all pairs."""
     monkeypatch.setattr(op, "TILE", tile)
-    rng = np.random.default_rng(2)
-    rows = []
-    for i in range(40):
-        words = list(rng.choice(2000, 300).astype(str))
-        rows.append((i, " ".join(words)))
-        words[150] = "edited"
-        rows.append((100 + i, " ".join(words)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r[0]: r[2] for r in op.near_duplicates(docs, 5, 256, 40, 0.8).collect()}
-    assert got == {i: i % 100 for i, _ in rows}
-
-
-def test_repeated_lines_join_nothing(spark):
-    rng = np.random.default_rng(3)
-    line = " ".join(f"line{k}" for k in range(11))
-    rows = []
-    for i, (own, repeats) in enumerate([(300, 20), (300, 20), (300, 20), (1000, 50), (1000, 50), (1000, 50)]):
-        words = list(rng.choice(100_000, own).astype(str))
-        for at in sorted(rng.choice(own, repeats, replace=False), reverse=True):
-            words.insert(int(at), line)
-        rows.append((i, " ".join(words)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
-    assert sorted(r.doc_id for r in kept) == list(range(6))
-
-
-@pytest.mark.parametrize("rows_in_block", [256, 3])
-def test_links_are_those_of_exact_similarity(spark, monkeypatch, rows_in_block):
-    monkeypatch.setattr(op, "BLOCK_ROWS", rows_in_block)
-    rng = np.random.default_rng(4)
-    rows = []
-    for i in range(60):  # copies with a changed end, around 0.8; from 9 words on
-        words = list(rng.choice(50_000, (9, 14, 30, 200, 400)[i % 5]).astype(str))
-        rows.append((i, " ".join(words)))
-        for k in (1, 2):
-            changed = max(1, int(len(words) * rng.uniform(0.02, 0.2)))
-            rows.append((100 * k + i, " ".join(words[:-changed] + [f"x{i}.{k}.{c}" for c in range(changed)])))
-            rows.append((300 + 100 * k + i, " ".join(words[:-changed])))
-    rows += [(900, ""), (901, None), (902, "two words"), (903, "two  words"), (None, "two words")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r[0]: r[1] for r in op.verified(docs, 5, 256, 56, 0.8).collect() if r[0] is not None}
-    sets = {i: set(op.shingles(t, 5)) for i, t in rows if i is not None}
-    root = {i: i for i in sets}
+    monkeypatch.setattr(op, "SIDE", side)
+    rng = np.random.default_rng(5)
+    words = set(rng.integers(0, 1 << 62, 150).tolist()) | {5}
+    for w in list(words)[:100] + [5] * 100:
+        for b in rng.choice(62, int(rng.integers(1, 4)), replace=False):
+            w ^= 1 << int(b)
+        words.add(w)
+    frame = spark.createDataFrame([(w,) for w in words], "word long")
+    root = {w: w for w in words}
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for i in sets:
-        for j in sets:
-            if j < i and (sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    assert got == {i: find(i) for i in sets} and len(set(got.values())) > 60
+    def join(pairs):
+        for a, b in pairs:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        return {w: find(w) for w in words}
+
+    got = join([tuple(r) for r in op.links(frame, radius).collect()])
+    root.update({w: w for w in words})
+    assert got == join([(a, b) for a in words for b in words if a < b and (a ^ b).bit_count() <= radius])
+
+
+def test_null_ids_and_no_rows(spark):
+    docs = spark.createDataFrame([(None, "a b c"), (1, "a b c")], "doc_id long, text string")
+    assert sorted(map(str, (r.component_id for r in op.near_duplicates(docs).collect()))) == ["1", "None"]
+    assert op.near_duplicates(docs.where("false")).count() == 0
+    assert op.deduplicated(docs.where("false")).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    rows = [(1, "a b c d e"), (1, "unlike text of its own"), (1, "A b c  d e"), (2, "a b c d e"), (3, "another text here now")]
+    rows += [(3, "another text here now"), (4, ""), (5, None), (None, "a b c d e"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as own", "2 as number", "map('k', 1) as m")
+    kept = op.deduplicated(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id or 0, (r.text or "").lower().split()) for r in kept.collect()))
+    assert got == [(0, []), (0, "a b c d e".split()), (1, "a b c d e".split()), (1, "unlike text of its own".split()),
+                   (3, "another text here now".split()), (4, [])]

@@ -4,16 +4,13 @@ import re
 
 import corpus_pipeline
 from demandspark.llm import op9_decontamination, op10_quality
+from demandspark.sources import scratch
+from test_op1 import brute
 from test_op2 import spans
 from test_op7 import check
 from test_op7 import library as library  # noqa: PLC0414
 
 
-def shingle_set(text, size=5):
-    words = (text or "").lower().split()
-    return {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
-
-
 def test_stages(spark, folder, library, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = []
@@ -32,15 +29,8 @@ def test_stages(spark, folder, library, tmp_path):
     assert len(wrong) <= 0.03 * len(quality)
 
     before, after = rows[1]
-    sets = {i: shingle_set(r.text) for i, r in before.items()}
-    near = {}
-    for i in before:
-        for j in before:
-            if j < i and 2 * len(sets[i] & sets[j]) > 0.8 * len(sets[i]):
-                near.setdefault(i, []).append(len(sets[i] & sets[j]) / len(sets[i] | sets[j]))
-    for i in before:
-        most = max(near.get(i, [0]))
-        assert (i not in after) if most >= 0.9 else (i in after) if most < 0.6 else True
+    component = {i: c for i, (_, c) in brute([(i, r.text) for i, r in before.items()]).items()}
+    assert set(after) == set(component.values()) and len(after) < len(before)
 
     before, after = rows[2]
     items = [re.findall(r"\w+", r.text.lower()) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
@@ -65,8 +55,9 @@ def test_stages(spark, folder, library, tmp_path):
 
 def test_odd_rows_pass(spark, tmp_path):
     rows = [(1, None), (2, ""), (None, "some text here"), (3, "a b c d e f g"), (3, "a b c d e f g"), (4, "a b c d e f g")]
+    rows += [(3, "very long " * 100_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
-        "*", "'en' as lang", "'s' as source", "5L as n_chars", "1 as score", "2 as row", "3 as base"
+        "*", "'en' as lang", "'s' as source", "5L as n_chars", "1 as score", "2 as row", "3 as base", "4 as _score", "5 as _own"
     )
     spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([(1, "no such item in any document")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
@@ -75,6 +66,16 @@ def test_odd_rows_pass(spark, tmp_path):
     for _, f in corpus_pipeline.STAGES[:4]:
         stage = f(spark, stage, str(tmp_path))
         assert stage.columns == docs.columns
-    assert sorted((r.doc_id or 0) for r in stage.collect()) == [0, 1, 3]
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 3
+    assert sorted((r.doc_id or 0) for r in stage.collect()) == [0, 1, 3, 3]
+    earlier = scratch.written()
+    assert corpus_pipeline.run(spark, str(tmp_path)).where("piece = 0").count() == 4
+    assert len(scratch.written() - earlier) == 1
     assert op10_quality.THRESHOLD == 0.3
+
+
+def test_no_documents(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, schema in (("labels", "doc_id long, quality int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
