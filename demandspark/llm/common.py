@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandspark.sources import scratch
@@ -37,6 +38,45 @@ def slices(texts: pa.Array) -> Iterator[pa.Array]:
         start = stop
 
 
+def placed(rows: DataFrame, key: str, order: list[Column], label: str) -> tuple[DataFrame, str]:
+    """``rows``, written, with ``slice`` and the zero-based ``place`` in the order of their key (a long); and the path.
+
+    Rows are sorted by range over the cluster and counted as they stream by, so no key is gathered in one task. Only
+    the first key of a slice can go on from earlier slices: what it has there is at most one row per slice.
+    """
+    names = [*rows.columns, "slice", "local"]
+    at = names.index(key)
+
+    def run(batches):
+        slice_id, last, seen = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            null = batch.column(at).is_null().to_numpy(zero_copy_only=False)
+            value = batch.column(at).fill_null(0).to_numpy(zero_copy_only=False)
+            new = np.ones(n, bool)
+            new[1:] = (value[1:] != value[:-1]) | (null[1:] != null[:-1])
+            new[0] = (value[0], null[0]) != last
+            local = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            local[: int(new.argmax()) if new.any() else n] += seen
+            last, seen = (value[-1], null[-1]), int(local[-1]) + 1
+            made = [pa.array(np.full(n, slice_id), pa.int64()), pa.array(local, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names)
+
+    schema = rows.select("*", *(F.lit(0).cast("long").alias(c) for c in names[-2:])).schema
+    done, path = scratch.stored(rows.orderBy(F.col(key).asc_nulls_first(), *order).mapInArrow(run, schema), label)
+    runs = done.groupBy("slice", key).agg(F.count("*").alias("n"))
+    several = runs.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("slices")).where("slices > 1").select("_key")
+    runs = runs.join(several, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    before = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = runs.select(F.col("slice").alias("_slice"), F.col(key).alias("_key"), F.sum("n").over(before).alias("_carry"))
+    carry = F.broadcast(carry.where("_carry is not null"))  # at most one row per slice
+    same = (F.col("slice") == F.col("_slice")) & F.col(key).eqNullSafe(F.col("_key"))
+    place = (F.col("local") + F.coalesce("_carry", F.lit(0))).alias("place")
+    return done.join(carry, same, "left").select(*rows.columns, "slice", place), path
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the links (a long, b long): one row (node, root) per linked node.
 

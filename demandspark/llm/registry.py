@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from demandspark.llm.op1_simhash import op1_simhash
 from demandspark.llm.op10_quality import op10_quality
+from demandspark.llm.op11_trie import op11_trie
 from demandspark.llm.op8_embeddings import OP8_SQL, op8_embeddings
 from demandspark.llm.op9_decontamination import op9_decontamination
 from demandspark.llm.op5_licenses import op5_licenses
@@ -28,4 +29,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_embeddings": (op8_embeddings, OP8_SQL),
     "op9_decontamination": (op9_decontamination, None),
     "op10_quality": (op10_quality, None),
+    "op11_trie": (op11_trie, None),
 }
