@@ -197,7 +197,7 @@ def ranked(arcs: DataFrame, base: int | None = None) -> tuple[DataFrame, list[st
         now, path, size, turn = new, new_path, new.count(), turn + 1
 
     def walk(frames):
-        rows = pd.concat(list(frames), ignore_index=True)
+        rows = pd.concat([pd.DataFrame(), *frames], ignore_index=True)
         if not len(rows):
             return
         at = pd.Series(np.arange(len(rows)), rows["arc"]).reindex(rows["next"]).fillna(-1).astype(int).to_numpy()
