@@ -10,6 +10,7 @@ from demandspark.llm.op1_simhash import op1_simhash
 from demandspark.llm.op10_quality import op10_quality
 from demandspark.llm.op11_trie import op11_trie
 from demandspark.llm.op12_warc import op12_warc
+from demandspark.llm.op13_repair import op13_repair
 from demandspark.llm.op8_embeddings import OP8_SQL, op8_embeddings
 from demandspark.llm.op9_decontamination import op9_decontamination
 from demandspark.llm.op5_licenses import op5_licenses
@@ -32,4 +33,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op10_quality": (op10_quality, None),
     "op11_trie": (op11_trie, None),
     "op12_warc": (op12_warc, None),
+    "op13_repair": (op13_repair, None),
 }
