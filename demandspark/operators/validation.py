@@ -1,7 +1,7 @@
 """Contiguous k-fold and expanding-window validation.
 
-Rows are numbered once by a range sort. The sums of products of all folds come from one pass,
-and every training set's sums are combinations of them, so no fold is read again to train.
+The rows at the borders of the folds are found by selection, so nothing is sorted or written. The sums of products of
+all folds come from one pass, and every training set's sums are combinations of them, so no fold is read again to train.
 """
 
 from __future__ import annotations
@@ -9,36 +9,34 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.functions.scalars import whole_div
 from demandspark.operators.linear import MODEL_FIELDS, as_matrix, count_and_means, gram, predict, solve
 from demandspark.operators.metrics import metric_columns
-from demandspark.operators.windows import Order, ranged_index
+from demandspark.operators.selection import cut_rows, digits, order_statistics
 
 
-def kfold_number(idx: Column, n: int, k: int) -> Column:
-    """Fold 0..k-1 of a row index; the first ``n mod k`` folds have one row more."""
+def kfold_starts(n: int, k: int) -> list[int]:
+    """First rows of the folds 1..k-1; the first ``n mod k`` folds have one row more."""
     size, longer = divmod(n, k)
-    head = longer * (size + 1)
-    tail = F.lit(longer) + whole_div(idx - F.lit(head), max(size, 1))
-    return F.when(idx < head, whole_div(idx, size + 1)).otherwise(tail).cast("int")
+    return [i * size + min(i, longer) for i in range(1, k)]
 
 
-def expanding_number(idx: Column, n: int, k: int) -> Column:
-    """Block 0..k of a row index: block 0 only trains, each later one is tested on what came
-    before it."""
+def expanding_starts(n: int, k: int) -> list[int]:
+    """First rows of the blocks 1..k: block 0 only trains, each later one is tested on what came before it."""
     size = n // (k + 1)
-    head = n - k * size
-    later = F.lit(1) + whole_div(idx - F.lit(head), max(size, 1))
-    return F.when(idx < head, F.lit(0)).otherwise(later).cast("int")
+    return [n - (k - i) * size for i in range(k)]
 
 
-def numbered_rows(df: DataFrame, cols: Sequence[str], order_by: Sequence[Order]) -> DataFrame:
-    """The columns a study needs, with a row index in the given order."""
-    named = [c for c in order_by if isinstance(c, str)]
-    return ranged_index(df.select(*dict.fromkeys([*named, *cols])), order_by, out="_idx")
+def with_folds(
+    df: DataFrame, order_by: Sequence[str], starts: Mapping[str, Sequence[int]], content: Sequence[str] | None = None
+) -> DataFrame:
+    """Number the stretches of an order that begin at the given rows, one column per name."""
+    keys = digits(df, order_by, content)
+    ranks = sorted({r for found in starts.values() for r in found})
+    cuts = dict(zip(ranks, order_statistics(df, keys, ranks)))
+    return cut_rows(df, keys, {name: [cuts[r] for r in found] for name, found in starts.items()})
 
 
 def fold_models(
@@ -91,20 +89,16 @@ def kfold_cv(
     df: DataFrame,
     features: Sequence[str],
     target: str,
-    order_by: Sequence[Order],
+    order_by: Sequence[str],
     k: int = 10,
     metrics: Sequence[str] = ("mse", "rmse"),
-    numbered: bool = False,
 ) -> DataFrame:
-    """Scores and coefficients per contiguous fold, each tested on the model of the others.
-
-    ``numbered`` says that ``df`` already comes from ``numbered_rows``.
-    """
-    rows = df if numbered else numbered_rows(df, [*features, target], order_by)
+    """Scores and coefficients per contiguous fold, each tested on the model of the others."""
+    rows = df.select(*dict.fromkeys([*order_by, *features, target]))
     n, centers = count_and_means(rows, [*features, target])
     if n < max(k, 2):
         raise ValueError(f"{n} rows cannot fill {k} folds")
-    rows = rows.withColumn("fold", kfold_number(F.col("_idx"), n, k))
+    rows = with_folds(rows, order_by, {"fold": kfold_starts(n, k)})
     models = _models_of(rows, features, target, centers, range(k), other_folds)
     return _scored(rows, models, features, target, metrics)
 
@@ -113,17 +107,16 @@ def expanding_cv(
     df: DataFrame,
     features: Sequence[str],
     target: str,
-    order_by: Sequence[Order],
+    order_by: Sequence[str],
     k: int = 10,
     metrics: Sequence[str] = ("rmse", "mae"),
-    numbered: bool = False,
 ) -> DataFrame:
     """Scores and coefficients of k equal test blocks, each trained on all rows before it."""
-    rows = df if numbered else numbered_rows(df, [*features, target], order_by)
+    rows = df.select(*dict.fromkeys([*order_by, *features, target]))
     n, centers = count_and_means(rows, [*features, target])
     if n < k + 1:
         raise ValueError(f"{n} rows cannot fill {k + 1} blocks")
-    rows = rows.withColumn("fold", expanding_number(F.col("_idx"), n, k))
+    rows = with_folds(rows, order_by, {"fold": expanding_starts(n, k)})
     models = _models_of(rows, features, target, centers, range(1, k + 1), earlier_folds)
     return _scored(rows.filter("fold > 0"), models, features, target, metrics)
 

@@ -1,7 +1,7 @@
 """Model studies: hold-out scores, coefficients, fold scores, benchmark and incumbent.
 
-A study works on one written table of numbered rows. Every figure is an aggregation over it;
-the report is a tall table (section, item, metric, value).
+Folds and the split are marks on the rows, whose borders are found by selection. Every figure is an
+aggregation over the marked rows; the report is a tall table (section, item, metric, value).
 """
 
 from __future__ import annotations
@@ -28,14 +28,14 @@ from demandspark.operators.linear import (
     solve,
 )
 from demandspark.operators.metrics import metric_columns
-from demandspark.operators.split import hash_split, test_bucket
+from demandspark.operators.split import hash_split, with_test_mark
 from demandspark.operators.validation import (
     earlier_folds,
-    expanding_number,
+    expanding_starts,
     fold_models,
-    kfold_number,
-    numbered_rows,
+    kfold_starts,
     other_folds,
+    with_folds,
 )
 
 PREDICTION = "total_booked_cancelation_prediction"
@@ -68,7 +68,7 @@ HOURLY_KEY = ["forecast_id"]
 HOURLY_ORDER = ["booked_start_at_local", "lead_time", "city_destination"]
 
 
-TEST_SHARE = 20
+TEST_SHARE = 0.2
 
 
 @dataclass(frozen=True)
@@ -191,27 +191,22 @@ def run_study(
 ) -> DataFrame:
     """Full report of one study.
 
-    Three passes over the numbered rows serve every model: means, product sums per fold,
-    block and side of the split, and scores. The driver sees a few small matrices and one row
+    Three passes over the marked rows serve every model: means, product sums per fold,
+    block and side of the split, and scores; a few passes over the keys find the marks. The driver sees a few small matrices and one row
     of scores per fold. ``model_rows`` feed the hold-out model when they differ from ``rows``.
     """
     columns = list(dict.fromkeys([*plan.features, plan.incumbent]))
     fold_features = list(plan.fold_features or plan.features)
     k, direct = plan.folds, ("rmse", "mae", "r2")
-    marked = rows.withColumn("_test", test_bucket(plan.key) < TEST_SHARE)
-    numbered = numbered_rows(marked, [*columns, plan.target, "_test"], plan.order_by)
-    n, centers = count_and_means(numbered, [*columns, plan.target])
+    used = rows.select(*dict.fromkeys([*plan.key, *plan.order_by, *columns, plan.target]))
+    n, centers = count_and_means(used, [*columns, plan.target])
     if n < k + 1:
         raise ValueError(f"{n} rows cannot fill {k + 1} blocks")
-    numbered = numbered.withColumns(
-        {
-            "_kfold": kfold_number(F.col("_idx"), n, k),
-            "_block": expanding_number(F.col("_idx"), n, k),
-        }
-    )
+    folded = with_folds(used, plan.order_by, {"_kfold": kfold_starts(n, k), "_block": expanding_starts(n, k)})
+    marked = with_test_mark(folded, plan.key, TEST_SHARE, out="_test", rows=n)
     sums = [
         (r["_kfold"], r["_block"], r["_test"], as_matrix(r["g"]))
-        for r in gram(numbered, columns, plan.target, centers, ["_kfold", "_block", "_test"]).collect()
+        for r in gram(marked, columns, plan.target, centers, ["_kfold", "_block", "_test"]).collect()
     ]
 
     def chosen(features: Sequence[str]) -> list[int]:
@@ -259,7 +254,7 @@ def run_study(
     holdout = _prediction("holdout", fitted, plan.holdout)
     if model_rows is None:
         predictions.append(F.when(is_test, holdout))
-    scores = _scores(numbered, plan.target, predictions)
+    scores = _scores(marked, plan.target, predictions)
     if model_rows is not None:
         scores |= _scores(model_test, plan.target, [holdout])
 

@@ -135,6 +135,15 @@ def test_expanding_equals_numpy(spark, data):
         assert r["coef"] == pytest.approx(b, rel=1e-6)
 
 
+def test_folds_of_equal_rows(spark):
+    df = spark.createDataFrame([(i // 60, float(i // 30), float(i // 30)) for i in range(240)], "t int, x double, y double")
+    cut = validation.with_folds(df.repartition(6), ["t"], {"fold": validation.kfold_starts(240, 7), "block": validation.expanding_starts(240, 7)})
+    assert [r["count"] for r in cut.groupBy("fold").count().orderBy("fold").collect()] == [35, 35, 34, 34, 34, 34, 34]
+    assert [r["count"] for r in cut.groupBy("block").count().orderBy("block").collect()] == [30] * 8
+    edges = cut.groupBy("fold").agg(F.min("t").alias("a"), F.max("t").alias("b")).orderBy("fold").collect()
+    assert all(x["b"] <= y["a"] for x, y in zip(edges, edges[1:]))
+
+
 def test_too_few_rows_for_the_folds(spark, data):
     df, names = frame(spark, data[0][:8], data[1][:8])
     with pytest.raises(ValueError):
@@ -166,11 +175,22 @@ def test_poisson_deviance_refuses_bad_values(spark, y, p):
         metrics.regression_metrics(df, "y", "p", ["poisson"]).collect()
 
 
-def test_split_is_stable_and_about_right(spark):
+@pytest.mark.parametrize(("n", "share", "wanted"), [(20_000, 0.2, 4000), (20_001, 0.125, 2501), (7, 0.2, 2), (1, 0.5, 1), (0, 0.2, 0)])
+def test_split_is_exact(spark, n, share, wanted):
+    train, test = split.hash_split(spark.range(n).withColumn("k", F.col("id").cast("string")), ["k"], share)
+    assert (train.count(), test.count()) == (n - wanted, wanted)
+
+
+def test_split_of_equal_keys_and_rows_is_exact(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.when(F.col("id") < 500, F.col("id")).alias("v")).repartition(5)
+    train, test = split.hash_split(df, ["k"], 0.37)
+    assert (train.count(), test.count()) == (630, 370)
+    assert train.unionAll(test).exceptAll(df).count() == 0
+
+
+def test_split_is_stable(spark):
     df = spark.range(20000).withColumn("k", F.col("id").cast("string"))
-    train, test = split.hash_split(df, ["k"])
+    test = split.hash_split(df, ["k"])[1]
     again = split.hash_split(df.repartition(13), ["k"])[1]
-    assert train.count() + test.count() == 20000
-    assert 3700 < test.count() < 4300
     assert test.exceptAll(again).count() == 0
     assert split.hash_split(df, ["k"], seed=1)[1].exceptAll(test).count() > 0
