@@ -1,7 +1,9 @@
-"""Standardisation and least squares from distributed sums.
+"""Standardisation and least squares by tall-skinny QR.
 
-Data is read once for the means and once for the sums of products; only the p x p system of a
-model is solved outside the plan, one small row per model.
+Each task reduces its rows of (1, features, target) to a triangular factor per group, a batch at a time; factors are
+stacked and reduced again, first per salt and then per group, so no task sees more than a few hundred of them. A factor has
+the condition of the data, not its square, and carries the values its rows are shifted by, so large means cost no
+digits. Only small systems are solved, one row per model.
 """
 
 from __future__ import annotations
@@ -18,8 +20,11 @@ from pyspark.sql import functions as F
 
 MODEL_FIELDS = "n_rows bigint, intercept double, coef array<double>, mean array<double>, scale array<double>"
 _CONSTANT = 1e-24  # variance below this share of the squared mean counts as none
-_CANCELLED = 1e-13  # likewise for the mean square around the centre it was summed about
-_RANK_CUT = 1e-12  # eigenvalues below this share of the largest count as zero
+_CANCELLED = 1e-26  # likewise for the mean square around the value it was shifted by
+_RANK_CUT = 1e-11  # singular values below this share of the largest count as zero
+_STACK = 512  # rows that are held per group before they are reduced
+_HELD = 2048  # groups that a task holds before it passes on what it has
+_SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -31,13 +36,6 @@ class Scaler:
     scale: tuple[float, ...]
 
 
-def count_and_means(df: DataFrame, cols: Sequence[str]) -> tuple[int, list[float]]:
-    """Row count and mean of each column, NULL and NaN left out, fetched as one row; 0 where there is no mean."""
-    means = [F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"_{i}") for i, c in enumerate(cols)]
-    n, *values = df.agg(F.count("*").alias("_n"), *means).first()
-    return n, [float(v) if v is not None else 0.0 for v in values]
-
-
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> Scaler:
     """Learn mean and population deviation; a constant column gets the scale 1."""
     aggs = [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
@@ -59,80 +57,132 @@ def apply_scaler(df: DataFrame, scaler: Scaler) -> DataFrame:
     )
 
 
-def gram(
-    df: DataFrame,
-    features: Sequence[str],
-    target: str,
-    centers: Sequence[float],
-    group_by: Sequence[str] = (),
-) -> DataFrame:
-    """Sums of products of (1, features, target) around ``centers``, one matrix ``g`` per group.
+@dataclass
+class Factor:
+    """Triangular factor ``r`` of n rows (1, z - shift)."""
 
-    Row 0 holds the count and the plain sums. Each data row is repeated once per matrix row,
-    which keeps the aggregation narrow enough for compiled code; it is summed up before the
-    shuffle, so a group costs a few rows per task however large it is. Matrices add up, so
-    groups can be combined afterwards. Rows that lack a feature or the target (NULL or NaN)
-    are left out, so every sum is over the same rows.
-    """
-    shifted = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip([*features, target], centers)]
-    z = [f"_z{i}" for i in range(len(shifted) + 1)]
-    rows = df.select(*group_by, F.lit(1.0).alias(z[0]), *[c.alias(n) for n, c in zip(z[1:], shifted)])
-    rows = rows.dropna(subset=z)
-    repeated = rows.select(*group_by, *z, F.posexplode(F.array(*z)).alias("_i", "_x"))
-    lines = repeated.groupBy(*group_by, "_i").agg(
-        *[F.sum(F.col("_x") * F.col(n)).alias(f"_g{j}") for j, n in enumerate(z)]
-    )
-    line = F.struct("_i", F.array(*[F.col(f"_g{j}") for j in range(len(z))]).alias("_g"))
-    matrix = F.array_sort(F.collect_list(line))
-    return lines.groupBy(*group_by).agg(F.transform(matrix, lambda r: r["_g"]).alias("g"))
+    n: int
+    shift: np.ndarray
+    r: np.ndarray
 
+    def moved(self, shift: np.ndarray) -> np.ndarray:
+        """The factor of the same rows around another shift."""
+        out = self.r.copy()
+        out[:, 1:] += np.outer(self.r[:, 0], self.shift - shift)
+        return out
 
-def centred_gram(
-    df: DataFrame, features: Sequence[str], target: str, group_by: Sequence[str]
-) -> DataFrame:
-    """As ``gram``, around each group's own means, which come with it as ``m``.
+    def columns(self, at: Sequence[int]) -> Factor:
+        """The factor of some of the columns z."""
+        r = self.r[:, [0, *[1 + i for i in at]]]
+        return Factor(self.n, self.shift[list(at)], reduced(r))
+
+
+def reduced(rows: np.ndarray) -> np.ndarray:
+    """At most as many rows as columns with the same inner products."""
+    return np.linalg.qr(rows, mode="r") if len(rows) > rows.shape[1] else rows
+
+
+def stacked(factors: Sequence[Factor]) -> Factor:
+    """The factor of all rows together."""
+    if not factors:
+        raise ValueError("there are no complete rows to learn from")
+    shift = factors[0].shift
+    rows = np.vstack([f.moved(shift) for f in factors])
+    return Factor(sum(f.n for f in factors), shift, reduced(rows))
 
-    Groups may differ by any factor: covariances are merged from partial ones, so no large
-    square cancels. Matrices of different groups can't be added up.
-    """
-    z = [f"_z{i}" for i in range(len(features) + 1)]
-    rows = df.select(*group_by, *[F.col(c).cast("double").alias(n) for n, c in zip(z, [*features, target])])
-    repeated = rows.dropna(subset=z).select(*group_by, *z, F.posexplode(F.array(*z)).alias("_i", "_x"))
-    lines = repeated.groupBy(*group_by, "_i").agg(
-        F.count("*").cast("double").alias("_n"),
-        F.avg("_x").alias("_m"),
-        *[F.covar_pop("_x", n).alias(f"_g{j}") for j, n in enumerate(z)],
-    )
-    around = F.array(F.lit(0.0), *[F.col(f"_g{j}") * F.col("_n") for j in range(len(z))])
-    lines = lines.withColumn("_line", F.struct("_i", "_m", around.alias("_g")))
-    matrix = F.array_sort(F.collect_list("_line"))
-    top = F.concat(F.array(F.max("_n")), F.array_repeat(F.lit(0.0), len(z)))
-    return lines.groupBy(*group_by).agg(
-        F.concat(F.array(top), F.transform(matrix, lambda r: r["_g"])).alias("g"),
-        F.transform(matrix, lambda r: r["_m"]).alias("m"),
-    )
 
+def factors(df: DataFrame, features: Sequence[str], target: str, group_by: Sequence[str] = ()) -> DataFrame:
+    """One row (group, n, shift, r) per group: the triangular factor of (1, features, target).
 
-def solve(
-    g: np.ndarray, centers: np.ndarray, standardize: bool = False
-) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    Rows that lack a feature or the target (NULL or NaN) are left out. A group costs a few small rows per task however large
+    it is, and a task holds at most ``_HELD`` groups.
+    """
+    keys = list(group_by)
+    z = [f"_z{i}" for i in range(len(features) + 1)]
+    rows = df.select(*keys, *[F.col(c).cast("double").alias(n) for n, c in zip(z, [*features, target])]).dropna(subset=z)
+    types = dict(df.dtypes)
+    fields = "".join(f"`{k}` {types[k]}, " for k in keys) + "n bigint, shift array<double>, r array<array<double>>"
+
+    def frame(found: list[tuple[dict, Factor]]) -> pd.DataFrame:
+        out = {k: pd.Series([key[k] for key, _ in found], dtype=object) for k in keys}
+        out["n"] = [f.n for _, f in found]
+        out["shift"] = [f.shift.tolist() for _, f in found]
+        out["r"] = [f.r.tolist() for _, f in found]
+        return pd.DataFrame(out)
+
+    def groups(batch: pd.DataFrame):
+        if not keys:
+            yield (), {}, batch
+            return
+        for _, part in batch.groupby(keys, dropna=False, sort=False):
+            key = {k: None if pd.isna(part[k].iloc[0]) else part[k].iloc[0] for k in keys}
+            yield tuple(key.values()), key, part
+
+    def reduce_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, tuple[dict, Factor]] = {}
+        for batch in batches:
+            for name, key, part in groups(batch):
+                values = part[z].to_numpy(float)
+                before = held.get(name)
+                shift = before[1].shift if before else values[0].copy()
+                block = np.column_stack([np.ones(len(values)), values - shift])
+                n, r = len(values), block
+                if before:
+                    n, r = n + before[1].n, np.vstack([before[1].r, block])
+                held[name] = (key, Factor(n, shift, reduced(r) if len(r) > _STACK else r))
+            if len(held) > _HELD:
+                yield frame([(k, Factor(f.n, f.shift, reduced(f.r))) for k, f in held.values()])
+                held = {}
+        if held:
+            yield frame([(k, Factor(f.n, f.shift, reduced(f.r))) for k, f in held.values()])
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Factors sorted by group; the last group of a batch may go on in the next."""
+        rest: list[tuple[dict, Factor]] = []
+        for batch in batches:
+            found: list[list[tuple[dict, Factor]]] = [rest] if rest else []
+            for row in batch.to_dict("records"):
+                key = {k: None if pd.isna(row[k]) else row[k] for k in keys}
+                one = (key, Factor(row["n"], np.array(row["shift"]), as_matrix(row["r"])))
+                if found and found[-1][0][0] == key:
+                    found[-1].append(one)
+                else:
+                    found.append([one])
+            done = [(g[0][0], stacked([f for _, f in g])) for g in found]
+            rest = done[-1:]
+            if done[:-1]:
+                yield frame(done[:-1])
+        if rest:
+            yield frame(rest)
+
+    made = rows.mapInPandas(reduce_rows, fields)
+    salted = made.withColumn("_salt", F.spark_partition_id() % _SALTS)
+    first = salted.repartition(*keys, "_salt").sortWithinPartitions("_salt", *keys).drop("_salt").mapInPandas(merge, fields)
+    last = first.repartition(*keys).sortWithinPartitions(*keys) if keys else first.coalesce(1)
+    return last.mapInPandas(merge, fields)
+
+
+def as_factor(row) -> Factor:
+    return Factor(row["n"], np.array(row["shift"]), as_matrix(row["r"]))
+
+
+def solve(factor: Factor, standardize: bool = False) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
     """(intercept, coef, mean, scale) of the minimum-norm least-squares fit."""
-    n, s = g[0, 0], g[0, 1:]
-    p = len(s) - 1
-    square = np.diag(g)[1:-1] / n
-    full = g[1:, 1:] - np.outer(s, s) / n
-    means = centers + s / n
-    var = np.diag(full)[:-1] / n
+    n, width = factor.n, factor.r.shape[1]
+    r = np.linalg.qr(np.vstack([factor.r, np.zeros((width, width))]), mode="r")  # rows are filled up with zeros
+    p = width - 2
+    means = factor.shift + r[0, 1:] / r[0, 0]
+    x, y = r[1:, 1:-1], r[1:, -1]
+    var, square = (x**2).sum(0) / n, (r[:, 1:-1] ** 2).sum(0) / n
     live = var > _CONSTANT * means[:-1] ** 2 + _CANCELLED * square
-    sd = np.where(live, np.sqrt(np.maximum(var, 0)), 1.0)
+    sd = np.where(live, np.sqrt(var), 1.0)
     beta = np.zeros(p)
     if live.any():
         d = sd[live]
-        corr = full[:-1, :-1][np.ix_(live, live)] / n / np.outer(d, d)
-        rhs = full[:-1, -1][live] / n / d
-        values, vectors = np.linalg.eigh(corr)
+        u, values, vectors = np.linalg.svd(x[:, live] / d, full_matrices=False)
+        vectors = vectors.T
         keep = values > _RANK_CUT * values.max()
-        scaled = vectors[:, keep] @ ((vectors[:, keep].T @ rhs) / values[keep])
+        scaled = vectors[:, keep] @ ((u[:, keep].T @ y) / values[keep])
         if not standardize:
             scaled = scaled / d
             if not keep.all():
@@ -163,26 +213,21 @@ def fit_ols(
     that lack a feature or the target are left out; without any row there is no model.
     """
     keys = list(group_by)
-    if keys:
-        sums = centred_gram(df, features, target, keys)
-    else:
-        _, centers = count_and_means(df, [*features, target])
-        sums = gram(df, features, target, centers).filter(F.size("g") > 0)
-        sums = sums.withColumn("m", F.array(*[F.lit(c) for c in centers]))
+    found = factors(df, features, target, keys)
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            matrices = [as_matrix(g) for g in batch["g"]]
-            fits = [solve(g, np.array(m), standardize) for g, m in zip(matrices, batch["m"])]
+            held = [as_factor(row) for row in batch.to_dict("records")]
+            fits = [solve(f, standardize) for f in held]
             out = batch[keys].copy()
-            out["n_rows"] = [int(g[0, 0]) for g in matrices]
+            out["n_rows"] = [f.n for f in held]
             for i, name in enumerate(["intercept", "coef", "mean", "scale"]):
                 out[name] = pd.Series([f[i] for f in fits], index=batch.index, dtype=object)
             yield out.astype({"intercept": float})
 
     types = dict(df.dtypes)
     key_fields = "".join(f"`{k}` {types[k]}, " for k in keys)
-    return sums.mapInPandas(fit, key_fields + MODEL_FIELDS)
+    return found.mapInPandas(fit, key_fields + MODEL_FIELDS)
 
 
 def fit_ols_by(

@@ -1,18 +1,17 @@
 """Contiguous k-fold and expanding-window validation.
 
-The rows at the borders of the folds are found by selection, so nothing is sorted or written. The sums of products of
-all folds come from one pass, and every training set's sums are combinations of them, so no fold is read again to train.
+The rows at the borders of the folds are found by selection, so nothing is sorted or written. The triangular
+factors of all folds come from one pass, and every training set's factor is made of them, so no fold is read again to train.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.operators.linear import MODEL_FIELDS, as_matrix, count_and_means, gram, predict, solve
+from demandspark.operators.linear import MODEL_FIELDS, Factor, as_factor, factors, predict, solve, stacked
 from demandspark.operators.metrics import metric_columns
 from demandspark.operators.selection import cut_rows, digits, order_statistics
 
@@ -40,17 +39,16 @@ def with_folds(
 
 
 def fold_models(
-    sums: Mapping[int, np.ndarray],
-    centers: Sequence[float],
+    parts: Mapping[int, Factor],
     folds: Sequence[int],
     trains_on: Callable[[int, int], bool],
 ) -> list[tuple[int, int, float, list[float]]]:
-    """(fold, rows, intercept, coef) per tested fold, from the product sums of each fold."""
+    """(fold, rows, intercept, coef) per tested fold, from the factor of each fold."""
     models = []
     for fold in folds:
-        g = sum(m for f, m in sums.items() if trains_on(f, fold))
-        intercept, coef, _, _ = solve(g, np.array(centers))
-        models.append((fold, int(g[0, 0]), intercept, coef.tolist()))
+        factor = stacked([m for f, m in sorted(parts.items()) if trains_on(f, fold)])
+        intercept, coef, _, _ = solve(factor)
+        models.append((fold, factor.n, intercept, coef.tolist()))
     return models
 
 
@@ -62,13 +60,12 @@ def earlier_folds(fold: int, tested: int) -> bool:
     return fold < tested
 
 
-def _models_of(rows, features, target, centers, folds, trains_on) -> DataFrame:
-    # At most k + 1 matrices reach the driver.
-    lines = gram(rows, features, target, centers, ["fold"]).collect()
-    sums = {r["fold"]: as_matrix(r["g"]) for r in lines}
+def _models_of(rows, features, target, folds, trains_on) -> DataFrame:
+    # At most k + 1 factors reach the driver.
+    parts = {r["fold"]: as_factor(r) for r in factors(rows, features, target, ["fold"]).collect()}
     p = len(features)
     models = [
-        (*model, [0.0] * p, [1.0] * p) for model in fold_models(sums, centers, folds, trains_on)
+        (*model, [0.0] * p, [1.0] * p) for model in fold_models(parts, folds, trains_on)
     ]
     return rows.sparkSession.createDataFrame(models, f"fold int, {MODEL_FIELDS}")
 
@@ -95,11 +92,11 @@ def kfold_cv(
 ) -> DataFrame:
     """Scores and coefficients per contiguous fold, each tested on the model of the others."""
     rows = df.select(*dict.fromkeys([*order_by, *features, target]))
-    n, centers = count_and_means(rows, [*features, target])
+    n = rows.count()
     if n < max(k, 2):
         raise ValueError(f"{n} rows cannot fill {k} folds")
     rows = with_folds(rows, order_by, {"fold": kfold_starts(n, k)})
-    models = _models_of(rows, features, target, centers, range(k), other_folds)
+    models = _models_of(rows, features, target, range(k), other_folds)
     return _scored(rows, models, features, target, metrics)
 
 
@@ -113,11 +110,11 @@ def expanding_cv(
 ) -> DataFrame:
     """Scores and coefficients of k equal test blocks, each trained on all rows before it."""
     rows = df.select(*dict.fromkeys([*order_by, *features, target]))
-    n, centers = count_and_means(rows, [*features, target])
+    n = rows.count()
     if n < k + 1:
         raise ValueError(f"{n} rows cannot fill {k + 1} blocks")
     rows = with_folds(rows, order_by, {"fold": expanding_starts(n, k)})
-    models = _models_of(rows, features, target, centers, range(1, k + 1), earlier_folds)
+    models = _models_of(rows, features, target, range(1, k + 1), earlier_folds)
     return _scored(rows.filter("fold > 0"), models, features, target, metrics)
 
 

@@ -20,12 +20,13 @@ from demandspark.functions.scalars import (
     zero_nonfinite,
 )
 from demandspark.operators.linear import (
-    as_matrix,
-    count_and_means,
+    Factor,
+    as_factor,
+    factors,
     fit_ols,
     fit_ols_by,
-    gram,
     solve,
+    stacked,
 )
 from demandspark.operators.metrics import metric_columns
 from demandspark.operators.split import hash_split, with_test_mark
@@ -191,7 +192,7 @@ def run_study(
 ) -> DataFrame:
     """Full report of one study.
 
-    Three passes over the marked rows serve every model: means, product sums per fold,
+    Two passes over the marked rows serve every model: triangular factors per fold,
     block and side of the split, and scores; a few passes over the keys find the marks. The driver sees a few small matrices and one row
     of scores per fold. ``model_rows`` feed the hold-out model when they differ from ``rows``.
     """
@@ -199,38 +200,32 @@ def run_study(
     fold_features = list(plan.fold_features or plan.features)
     k, direct = plan.folds, ("rmse", "mae", "r2")
     used = rows.select(*dict.fromkeys([*plan.key, *plan.order_by, *columns, plan.target]))
-    n, centers = count_and_means(used, [*columns, plan.target])
+    n = used.count()
     if n < k + 1:
         raise ValueError(f"{n} rows cannot fill {k + 1} blocks")
     folded = with_folds(used, plan.order_by, {"_kfold": kfold_starts(n, k), "_block": expanding_starts(n, k)})
     marked = with_test_mark(folded, plan.key, TEST_SHARE, out="_test", rows=n)
-    sums = [
-        (r["_kfold"], r["_block"], r["_test"], as_matrix(r["g"]))
-        for r in gram(marked, columns, plan.target, centers, ["_kfold", "_block", "_test"]).collect()
+    held = [
+        (r["_kfold"], r["_block"], r["_test"], as_factor(r))
+        for r in factors(marked, columns, plan.target, ["_kfold", "_block", "_test"]).collect()
     ]
 
-    def chosen(features: Sequence[str]) -> list[int]:
-        return [0, *[1 + columns.index(f) for f in features], len(columns) + 1]
-
-    def part(features, keep) -> np.ndarray:
-        at = chosen(features)
-        return sum((g for *key, g in sums if keep(*key)), np.zeros_like(sums[0][3]))[np.ix_(at, at)]
-
-    def center(features) -> np.ndarray:
-        return np.array([centers[i - 1] for i in chosen(features)[1:]])
+    def part(features, keep) -> Factor:
+        at = [*[columns.index(f) for f in features], len(columns)]
+        return stacked([f for *key, f in held if keep(*key)]).columns(at)
 
     train = (lambda kf, bl, test: not test)
     if model_rows is None:
-        model = solve(part(plan.features, train), center(plan.features), plan.standardize)
+        model = solve(part(plan.features, train), plan.standardize)
     else:
         model_train, model_test = hash_split(model_rows, plan.key)
         row = fit_ols(model_train, plan.features, plan.target, standardize=plan.standardize).first()
         model = (row["intercept"], row["coef"], row["mean"], row["scale"])
-    bench = solve(part([plan.incumbent], train), center([plan.incumbent]))
+    bench = solve(part([plan.incumbent], train))
     by_fold = {f: part(fold_features, lambda kf, bl, test, f=f: kf == f) for f in range(k)}
     by_block = {b: part(fold_features, lambda kf, bl, test, b=b: bl == b) for b in range(k + 1)}
-    kfold = fold_models(by_fold, center(fold_features), range(k), other_folds)
-    expanding = fold_models(by_block, center(fold_features), range(1, k + 1), earlier_folds)
+    kfold = fold_models(by_fold, range(k), other_folds)
+    expanding = fold_models(by_block, range(1, k + 1), earlier_folds)
 
     is_test = F.col("_test")
     fitted = _fitted_prediction(model, plan.features, plan.nonneg)

@@ -96,12 +96,27 @@ def test_models_per_key(spark, data):
         assert [got[c][n] for n in names] == pytest.approx(list(beta), rel=1e-7)
 
 
-def test_fold_sums_add_up(spark, data):
+def test_factors_of_groups_stack_up(spark, data, monkeypatch):
     df, names = frame(spark, *data)
-    folded = df.withColumn("fold", F.col("t") % 5)
-    total = linear.as_matrix(linear.gram(folded, names, "y", [0.0] * 5).first()["g"])
-    parts = [linear.as_matrix(r["g"]) for r in linear.gram(folded, names, "y", [0.0] * 5, ["fold"]).collect()]
-    assert np.allclose(sum(parts), total) and total[0, 0] == 203
+    folded = df.withColumn("fold", F.when(F.col("t") % 5 > 0, F.col("t") % 5))  # one key is NULL
+    total = linear.as_factor(linear.factors(folded, names, "y").first())
+    rows = linear.factors(folded, names, "y", ["fold"]).collect()
+    assert {r["fold"] for r in rows} == {None, 1, 2, 3, 4}
+    both = linear.stacked([linear.as_factor(r) for r in rows])
+    z = np.column_stack([np.ones(len(data[1])), *data[0].T, data[1]])
+    for f in (total, both):
+        moved = f.moved(np.zeros(5))
+        assert f.n == 203 and np.allclose(moved.T @ moved, z.T @ z)
+
+
+def test_nearly_collinear_features_keep_their_digits(spark):
+    """Normal equations square the condition (1e7 here) and would take these for one feature."""
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(size=400), rng.normal(size=400)
+    x = np.column_stack([a, a + 1e-7 * b])
+    df, names = frame(spark, x, 2 * a + 3 * x[:, 1] + 5)
+    row = linear.fit_ols(df, names, "y").first()
+    assert row["coef"] == pytest.approx([2, 3], rel=1e-6)
 
 
 def rmse(a, b):
