@@ -58,17 +58,24 @@ class Encoder:
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            described = json.load(file)
+        vocabulary = described["model"]["vocab"]
+        added = {t["content"]: t["id"] for t in described.get("added_tokens", [])}
         # Byte-level files write byte b as its own character if that is printable, else as 256 + its place among the rest.
         own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = [b for b in range(256) if b not in own]
         letters = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
         ranks = {bytes(map(letters.__getitem__, t)): i for t, i in vocabulary.items() if all(c in letters for c in t)}
-        ranks.pop(b"<|endoftext|>", None)
+        for token in added:
+            ranks.pop(token.encode(), None)
         self.encode = tiktoken.Encoding(
             "file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )._core_bpe.encode_ordinary
         self.known: dict[str, bytes] = {}
+        # Added tokens are cut out of a text before anything else, the longest first where several begin.
+        longest = sorted(added, key=len, reverse=True)
+        self.added = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
+        self.added_ids = {token: np.array([i], "<u4").tobytes() for token, i in added.items()}
 
     def plain(self, text: str) -> bytes:
         return np.array(self.encode(text), "<u4").tobytes()
@@ -84,6 +91,11 @@ class Encoder:
         return found
 
     def ids(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            return b"".join(self.added_ids.get(part) or self.between(part) for part in self.added.split(text) if part)
+        return self.between(text)
+
+    def between(self, text: str) -> bytes:
         if _RUN_OF_SPACE.search(text):  # the rule looks at runs of white space as a whole
             return self.plain(text)
         first, *rest = text.split(" ")

@@ -19,7 +19,6 @@ def library():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -33,6 +32,13 @@ def test_ids_are_the_librarys(library, text):
     assert np.frombuffer(op.encoder(PATH).ids(text), "<u4").tolist() == library(text)
 
 
+@pytest.mark.parametrize(
+    "text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "<|endoftext", "\n<|endoftext|>\n z", " <|ENDOFTEXT|> "]
+)
+def test_added_tokens_are_cut_out_first(library, text):
+    assert np.frombuffer(op.encoder(PATH).ids(text), "<u4").tolist() == library(text)
+
+
 def check(rows, docs, library, length=1024):
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
