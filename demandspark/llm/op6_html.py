@@ -5,7 +5,9 @@ the node whose children's densities sum highest is the content's core. The small
 path to the body is the threshold: the core grows to an enclosing ancestor as long as the
 ancestor's other text also reaches it, and always to the article element around it. Menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are cut out first,
-by element, role and class name. All text of the chosen subtree is returned.
+by element, role and class name. A name or a form is no proof: what holds the page's main or only
+article element stays, and so does a form, or an element whose name only contains a marked word, with
+more than half of the page's text. All text of the chosen subtree is returned.
 
 Defined cases: a null or empty page, or one without text, gives an empty text and 0; markup that never
 ends is text up to where it breaks; repeated rows are extracted each; null keys are carried; other
@@ -17,6 +19,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,12 +39,16 @@ BOILERPLATE = frozenset(
     " svg template textarea title".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
-#: Whole words of a class name or id that mark what isn't the article.
+#: Words of a class name or id that mark what isn't the article.
 MARKED = re.compile(
     r"(?<![a-z])(ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disclaimer|disqus|footer|header|masthead"
     r"|menu|modal|nav|navbar|navigation|newsletter|notice|notification|pagination|popup|promo\w*|related|replies|reply"
     r"|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?![a-z])"
 )
+#: Of these, what readers wrote: never kept for its length.
+READERS = re.compile(r"(?<![a-z])(comments?|disqus|replies|reply|respond)(?![a-z])")
+#: A first part that turns a name into a remark on the layout, as in "has-sidebar".
+REMARKS = frozenset("has hide no not show with without".split())
 #: A start tag of the key ends an open element of these names.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -56,16 +63,25 @@ _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style",
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
 
-def is_boilerplate(tag: str, attributes: str) -> bool:
-    if tag in BOILERPLATE:
-        return True
+# How sure a mark is: the name contains a marked word, is one, or the element can't be text.
+LOOSE, FIRM, SURE = 1, 2, 3
+
+
+def mark_of(tag: str, attributes: str) -> tuple[int, bool]:
+    """(how sure the element is boilerplate, whether it is named after readers' words)."""
+    if tag in BOILERPLATE and tag != "form":
+        return SURE, False
+    mark, readers = LOOSE if tag == "form" else 0, False
     for name, *values in _NAMED.findall(attributes) if attributes.strip() else ():
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and MARKED.search(value):
-            return tag not in ("body", "html", "article", "main")
-    return False
+            return SURE, False
+        if name in ("class", "id") and MARKED.search(value) and tag not in ("body", "html", "article", "main"):
+            for word in value.split():
+                if MARKED.search(word) and re.split("[^a-z]", word)[0] not in REMARKS:
+                    mark = max(mark, FIRM if MARKED.fullmatch(word) else LOOSE)
+                    readers = readers or READERS.search(word) is not None
+    return mark, readers
 
 
 class Page:
@@ -73,6 +89,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.cut, self.end = ["html"], [0], [False], [0]
+        self.mark, self.readers = [0], [False]
         self.texts: list[tuple[int, str | None]] = []  # (node, text), None where a block begins or ends
         self._parse(source)
         self.end = [len(self.tag)] * len(self.tag)
@@ -81,6 +98,35 @@ class Page:
         for k in range(last - 1, 0, -1):
             ends[self.parent[k]] = max(ends[self.parent[k]], ends[k])
         self.end = ends
+        if any(self.mark):
+            self._cut_marked()
+
+    def _cut_marked(self) -> None:
+        """Cut what is marked, unless it holds the page."""
+        n = len(self.tag)
+        own = [0] * n  # characters of the subtree outside marked elements in it
+        for k, text in self.texts:
+            if text:
+                own[k] += len("".join(text.split()))
+        holds = {tag: [k for k in range(1, n) if self.tag[k] == tag and not self.cut[k]] for tag in ("main", "article")}
+        by_readers = [False] * n
+        for k in range(1, n):
+            by_readers[k] = self.readers[k] or by_readers[self.parent[k]]
+        text = sum(x for x, skip in zip(own, by_readers) if not skip)
+        for k in range(n - 1, 0, -1):
+            if not self.mark[k]:
+                own[self.parent[k]] += own[k]
+        for k in range(1, n):
+            cut = self.cut[self.parent[k]] or self.cut[k]
+            if self.mark[k] and not cut:
+                inside = [bisect_left(at, self.end[k]) - bisect_left(at, k) for at in holds.values()]
+                page = inside[0] > 0 or 0 < inside[1] == len(holds["article"])
+                if self.mark[k] == LOOSE and not self.readers[k]:
+                    page = page or 2 * own[k] > text
+                elif self.readers[k]:
+                    page = inside[0] > 0
+                cut = not page
+            self.cut[k] = cut
 
     def _parse(self, source: str) -> None:
         stack, at, size = [0], 0, len(source)
@@ -126,7 +172,10 @@ class Page:
         parent = stack[-1]
         self.tag.append(tag)
         self.parent.append(parent)
-        self.cut.append(self.cut[parent] or is_boilerplate(tag, attributes))
+        mark, readers = mark_of(tag, attributes)
+        self.cut.append(self.cut[parent] or mark == SURE)
+        self.mark.append(mark % SURE)
+        self.readers.append(readers)
         node = len(self.tag) - 1
         stack.append(node)
         if tag in BLOCKS:

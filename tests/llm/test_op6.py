@@ -53,3 +53,24 @@ def test_hard_pages(spark):
     got = extract(frame).collect()
     assert len(got) == 6 and got[0].text == "x" and got[2].text == "" and got[3].n_chars == 999_999
     assert extract(frame.where("false")).count() == 0
+
+
+STORY = "".join(f"<p>{LONG}</p>" for _ in range(6))
+
+
+@pytest.mark.parametrize("around", [
+    "div class='content has-sidebar'", "div id='page' class='header-fixed'", "div class='no-comments'", "div class='social-sciences'",
+    "form id='aspnetForm'", "div class='sidebar'", "div class='wrap footer-sticky nav-open'",
+])
+@pytest.mark.parametrize("element", ["div", "article"])
+def test_wrappers_of_the_whole_page_stay(around, element):
+    if around == "div class='sidebar'" and element == "div":
+        return  # nothing tells that it isn't one
+    page = (f"<body><{around}><{element}>{STORY}</{element}><ul class='nav-links'><li>Menu</ul><div class='comment-list'>"
+            f"{STORY}{STORY}</div><div class='cookie-notice'>We use cookies</div></{around.split()[0]}></body>")
+    assert main_text(page) == "\n".join([LONG.strip()] * 6)
+
+
+def test_readers_articles_are_no_articles():
+    page = f"<article>{STORY}</article><ol class='comments'><li><article class='comment'>{STORY}{STORY}</article></ol>"
+    assert main_text(page) == "\n".join([LONG.strip()] * 6)
