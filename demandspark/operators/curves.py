@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.scalars import before, capped, elapsed_days, year_after
@@ -143,3 +143,48 @@ def top_booker_amounts(
     )
     best = totals.groupBy(*days).agg(*[F.max(f"_{k}").alias(f"_{k}") for k in leads])
     return best.select(*days, F.array(*[F.col(f"_{k}") for k in leads]).alias("top_bookings_rs"))
+
+
+def day_curves(
+    rides: DataFrame, as_of: dt.date | str, min_year: int = 2021, cap: int = LEAD_CAP
+) -> DataFrame:
+    """Running cancellations and the top booker's running bookings per city and day, as arrays
+    indexed by lead, from one scan of the rides.
+
+    A ride counts once as booked and once as cancelled; what tells them apart is the booker, NULL
+    on a cancellation. ``cancelations_rs`` at k holds the cancellations with a lead of at least k,
+    which is the running total of the band of ``cancellation_curve`` that k lies in;
+    ``top_bookings_rs`` is that of ``top_booker_amounts``. A day without either has NULL entries
+    for it. Leads below 0 have no entry.
+    """
+    days, leads = ["city_destination", "ride_date"], range(cap + 1)
+    booked = before("booked_start_at_local", as_of)
+    cancelled = F.col("state").like("%Cancel%") & year_after("booked_start_at", min_year)
+
+    def entry(kept: Column, booker: Column, since: str) -> Column:
+        lead = capped(elapsed_days(since, "booked_start_at"), cap)
+        return F.when(kept, F.struct(booker.alias("booker"), lead.alias("lead_time")))
+
+    company = F.coalesce("corporation_name", F.lit(NO_COMPANY))
+    entries = F.array(
+        entry(booked, company, "created_at"), entry(cancelled, F.lit(None).cast("string"), "canceled_at")
+    )
+    counted = (
+        rides.filter(~F.col("is_emirates") & (booked | cancelled) & F.col("ride_uuid").isNotNull())
+        .select(
+            "city_destination",
+            F.to_date("booked_start_at_local").alias("ride_date"),
+            F.explode(F.array_compact(entries)).alias("_entry"),
+            "ride_uuid",
+        )
+        .select(*days, "_entry.booker", "_entry.lead_time", "ride_uuid")
+        .distinct()
+    )
+    totals = counted.groupBy(*days, "booker").agg(
+        *[F.count_if(F.col("lead_time") >= k).alias(f"_{k}") for k in leads]
+    )
+    of_day = {"top_bookings_rs": F.col("booker").isNotNull(), "cancelations_rs": F.col("booker").isNull()}
+    best = totals.groupBy(*days).agg(
+        *[F.max(F.when(kept, F.col(f"_{k}"))).alias(f"{name}_{k}") for name, kept in of_day.items() for k in leads]
+    )
+    return best.select(*days, *[F.array(*[F.col(f"{name}_{k}") for k in leads]).alias(name) for name in of_day])

@@ -110,12 +110,14 @@ def trailing_windows(
     """Attach the hours of the trailing days to each observation date and number them by time.
 
     Observation dates run from ``months`` back (or the day behind ``after``) to ``as_of``. A
-    group is one city's hours of ``days_back + 1`` days, at most 24 each.
+    group is one city's hours of ``days_back + 1`` days, at most 24 each. The grid is shuffled by
+    city before its hours are copied into the windows, so no copy is shuffled: a city's hours are
+    bounded by ``months``, whatever the number of rides.
     """
     lo = first_day(as_of, months)
     if after is not None:
         lo = F.greatest(lo, F.date_add(date_lit(after), 1))
-    days = grid.withColumn("_day", F.to_date("delivery_timestamp"))
+    days = grid.withColumn("_day", F.to_date("delivery_timestamp")).repartition("city_destination")
     spread = window_expand(days, "_day", lo, date_lit(as_of), days_back).drop("_day")
     w = Window.partitionBy("city_destination", "observation_date").orderBy("delivery_timestamp")
     return spread.withColumn("seqnum", F.row_number().over(w).cast("bigint") - 1)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.scalars import calendar_features, date_lit, safe_ln
-from demandspark.operators.curves import cancellation_curve, daily_demand, top_booker_amounts
-from demandspark.operators.joins import interval_join, left_join_on
+from demandspark.operators.curves import daily_demand, day_curves
+from demandspark.operators.joins import left_join_on
 from demandspark.operators.smoothing import ema_grid
 from demandspark.operators.windows import rolling_means
 
@@ -65,25 +65,17 @@ def full_training_set(
     """Smoothed predictions, running cancellations, the top booker's amount and logarithms.
 
     ``averages_after`` also adds the moving averages of demand after that year; they are off
-    by default, which saves their join. Both curves have one row or a few bands per city and
-    day and are looked up on the same keys, so the forecasts are shuffled for them once.
+    by default, which saves their join. Both curves come from one scan of the rides, as one row per
+    city and day, and a forecast finds its lead in them by position.
     """
     smoothed = smoothed_forecasts(past, THREE_FACTORS, cutoff, strategy)
-    banded = interval_join(
-        smoothed,
-        cancellation_curve(rides, "delivery_date", cancelled_after),
-        ["city_destination", "delivery_date"],
-        "lead_time",
-        "next_cancelation_lead_time",
-        "cancelation_lead_time",
-        ["total_cancelations_rs"],
-        offset=1,
-    )
-    amounts = top_booker_amounts(rides, as_of).withColumnRenamed("ride_date", "delivery_date")
-    joined = banded.join(amounts, ["city_destination", "delivery_date"], "left")
-    # The amount of the next longer lead, as far as the curve goes.
+    curves = day_curves(rides, as_of, cancelled_after).withColumnRenamed("ride_date", "delivery_date")
+    joined = smoothed.join(curves, ["city_destination", "delivery_date"], "left")
+    # What is known at the next longer lead, as far as the curves go.
     at = F.col("lead_time") + 1
-    joined = joined.withColumn("top_booker_amt", F.get("top_bookings_rs", at))
+    joined = joined.withColumns(
+        {"top_booker_amt": F.get("top_bookings_rs", at), "total_cancelations_rs": F.get("cancelations_rs", at)}
+    ).drop("top_bookings_rs", "cancelations_rs")
     extra = []
     if averages_after is not None:
         means = demand_moving_averages(rides, averages_after)

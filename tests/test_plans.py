@@ -128,3 +128,18 @@ def test_to_local_is_bounded(spark):
 def test_csv_schema_is_inferred_on_request(spark, tmp_path):
     spark.range(3).selectExpr("id", "id / 2 AS half").write.option("header", True).csv(str(tmp_path / "c"))
     assert dict(tables.read_training_csv(spark, str(tmp_path / "c")).dtypes)["half"] == "double"
+
+
+def test_copies_of_trailing_windows_are_not_shuffled(spark, folder):
+    plan = QUERIES["slot_smoothed_profile"][0](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Generate")]  # the windows' copies are made here
+    assert above.count("Exchange hashpartitioning") == 0 and "Window" in above
+
+
+def test_full_training_set_scans_rides_once(spark, folder):
+    from demandspark.plans.daily import full_training_set
+
+    past = scratch.materialize(standins.past_forecasts(spark, folder), "past")
+    rides = scratch.materialize(standins.rides(spark, folder), "rides")
+    plan = full_training_set(past, rides, "1995-01-31", "2001-08-02")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2  # forecasts and rides
