@@ -64,52 +64,156 @@ def _in_circle(p, q, r, d) -> Fraction:
     return a * (f * j - g * i) - b * (e * j - g * h) + c * (e * i - f * h)
 
 
-def _circle_values(pts: np.ndarray, p, q, r) -> tuple[np.ndarray, np.ndarray]:
-    """Float version of ``_in_circle`` for all points, with the size of its rounding error."""
-    (a, b), (e, f), (h, i) = [(v[0] - pts[:, 0], v[1] - pts[:, 1]) for v in (p, q, r)]
-    c, g, j = a * a + b * b, e * e + f * f, h * h + i * i
-    value = a * (f * j - g * i) - b * (e * j - g * h) + c * (e * i - f * h)
-    size = np.abs(a) * (np.abs(f) * j + g * np.abs(i)) + np.abs(b) * (np.abs(e) * j + g * np.abs(h))
-    return value, _NOISE * (size + c * (np.abs(e * i) + np.abs(f * h)))
-
-
-def _cell(pts: np.ndarray, a: int, b: int) -> list[int] | None:
-    """Corners, in left turn from edge a-b, of the empty circle on the left of that edge."""
-    cross = (pts[b, 0] - pts[a, 0]) * (pts[:, 1] - pts[a, 1]) - (pts[b, 1] - pts[a, 1]) * (
-        pts[:, 0] - pts[a, 0]
-    )
-    near = np.abs(cross) <= _NOISE * np.abs(pts).max() ** 2
-    left = cross > 0
-    for i in np.flatnonzero(near):
-        left[i] = i not in (a, b) and _turn(pts[a], pts[b], pts[i]) > 0
-    candidates = np.flatnonzero(left)
-    if not len(candidates):
-        return None
-    to_a, to_b = pts[a] - pts[candidates], pts[b] - pts[candidates]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        best = int(candidates[np.nanargmin((to_a * to_b).sum(axis=1) / cross[candidates])])
-    while True:
-        value, noise = _circle_values(pts[candidates], pts[a], pts[b], pts[best])
-        close = candidates[value > -noise]
-        exact = {int(i): _in_circle(pts[a], pts[b], pts[best], pts[i]) for i in close if i != best}
-        inside = [i for i, v in exact.items() if v > 0]
-        if not inside:
-            break
-        best = inside[0]
-    on_circle = [best, *[i for i, v in exact.items() if v == 0]]
-    # Seen from a, the corners of a convex cell turn left one after the other.
-    ordered: list[int] = []
-    for i in on_circle:
-        at = next((k for k, o in enumerate(ordered) if _turn(pts[a], pts[i], pts[o]) > 0), len(ordered))
-        ordered.insert(at, i)
-    return [a, b, *ordered]
+class _Mesh:
+    """Delaunay edges of different points in order of x and y, by divide and conquer (Guibas, Stolfi 1985).
+
+    Edge ``e`` runs back as ``e ^ 1``. ``onext`` and ``oprev`` are the next edges around its origin, to the left
+    and to the right. Halves are joined from their lower common tangent upwards.
+    """
+
+    def __init__(self, pts: np.ndarray):
+        self.pts = list(map(tuple, pts.tolist()))
+        self.org: list[int] = []
+        self.onext: list[int] = []
+        self.oprev: list[int] = []
+        self.gone: set[int] = set()
+        if len(self.pts) > 1:
+            self._build(0, len(self.pts))
+
+    def turn(self, a: int, b: int, c: int) -> float | Fraction:
+        return _turn(self.pts[a], self.pts[b], self.pts[c])
+
+    def inside(self, a: int, b: int, c: int, d: int) -> float | Fraction:
+        """Sign tells whether d lies in the circle of a, b, c; exact where floats cannot tell."""
+        p, q, r, (x, y) = self.pts[a], self.pts[b], self.pts[c], self.pts[d]
+        px, py, qx, qy, rx, ry = p[0] - x, p[1] - y, q[0] - x, q[1] - y, r[0] - x, r[1] - y
+        pp, qq, rr = px * px + py * py, qx * qx + qy * qy, rx * rx + ry * ry
+        u, v, w = qx * ry, rx * py, px * qy
+        k, m, n = qy * rx, ry * px, py * qx
+        value = pp * (u - k) + qq * (v - m) + rr * (w - n)
+        size = pp * (abs(u) + abs(k)) + qq * (abs(v) + abs(m)) + rr * (abs(w) + abs(n))
+        return value if abs(value) > _NOISE * size else _in_circle(p, q, r, (x, y))
+
+    def _edge(self, a: int, b: int) -> int:
+        e = len(self.org)
+        self.org += (a, b)
+        self.onext += (e, e + 1)
+        self.oprev += (e, e + 1)
+        return e
+
+    def _splice(self, a: int, b: int) -> None:
+        onext, oprev = self.onext, self.oprev
+        after_a, after_b = onext[a], onext[b]
+        onext[a], onext[b] = after_b, after_a
+        oprev[after_b], oprev[after_a] = a, b
+
+    def _connect(self, a: int, b: int) -> int:
+        """New edge from the end of a to the origin of b, along their common left face."""
+        e = self._edge(self.org[a ^ 1], self.org[b])
+        self._splice(e, self.oprev[a ^ 1])
+        self._splice(e ^ 1, b)
+        return e
+
+    def _remove(self, e: int) -> None:
+        self._splice(e, self.oprev[e])
+        self._splice(e ^ 1, self.oprev[e ^ 1])
+        self.gone.add(e >> 1)
+
+    def _build(self, low: int, high: int) -> tuple[int, int]:
+        """Edges of the hull: left turn out of the leftmost point, right turn out of the rightmost."""
+        if high - low == 2:
+            e = self._edge(low, low + 1)
+            return e, e ^ 1
+        if high - low == 3:
+            a, b = self._edge(low, low + 1), self._edge(low + 1, low + 2)
+            self._splice(a ^ 1, b)
+            side = self.turn(low, low + 1, low + 2)
+            if side == 0:
+                return a, b ^ 1
+            c = self._connect(b, a)
+            return (a, b ^ 1) if side > 0 else (c ^ 1, c)
+        middle = (low + high) // 2
+        left, left_in = self._build(low, middle)
+        right_in, right = self._build(middle, high)
+        org, onext, oprev = self.org, self.onext, self.oprev
+        while True:
+            if self.turn(org[left_in], org[left_in ^ 1], org[right_in]) > 0:
+                left_in = oprev[left_in ^ 1]
+            elif self.turn(org[right_in], org[right_in ^ 1], org[left_in]) < 0:
+                right_in = onext[right_in ^ 1]
+            else:
+                break
+        base = self._connect(right_in ^ 1, left_in)
+        if org[left_in] == org[left]:
+            left = base ^ 1
+        if org[right_in] == org[right]:
+            right = base
+        self._join(base)
+        return left, right
+
+    def _join(self, base: int) -> None:
+        """Close the gap above the tangent, edge by edge; edges that lose their empty circle go."""
+        org, onext, oprev = self.org, self.onext, self.oprev
+        while True:
+            start, end = org[base], org[base ^ 1]
+            ups = []
+            for edge, ring in ((onext[base ^ 1], onext), (oprev[base], oprev)):
+                up = self.turn(start, end, org[edge ^ 1]) < 0
+                while up and (after := org[ring[edge] ^ 1]) not in (start, end):
+                    if self.turn(start, end, after) >= 0 or self.inside(end, start, org[edge ^ 1], after) <= 0:
+                        break
+                    edge, old = ring[edge], edge
+                    self._remove(old)
+                ups.append(edge if up else None)
+            on_left, on_right = ups
+            if on_left is None and on_right is None:
+                return
+            if on_left is None or on_right is not None and self.inside(end, start, org[on_left ^ 1], org[on_right ^ 1]) > 0:
+                base = self._connect(on_right, base ^ 1)
+            else:
+                base = self._connect(base ^ 1, on_left ^ 1)
+
+    def cells(self) -> list[list[int]]:
+        """Corners in left turn of the faces; triangles on one circle are one face."""
+        org, oprev = self.org, self.oprev
+        face, corners = {}, []
+        for e in range(len(org)):
+            if e in face or e >> 1 in self.gone:
+                continue
+            f = oprev[e ^ 1]
+            g = oprev[f ^ 1]
+            if oprev[g ^ 1] == e and self.turn(org[e], org[f], org[g]) > 0:
+                face.update(dict.fromkeys((e, f, g), len(corners)))
+                corners.append((org[e], org[f], org[g]))
+        root = list(range(len(corners)))
+
+        def find(k: int) -> int:
+            while root[k] != k:
+                root[k] = root[root[k]]
+                k = root[k]
+            return k
+
+        for e, k in face.items():
+            if e & 1 and e ^ 1 in face and self.inside(*corners[k], org[oprev[e] ^ 1]) == 0:
+                root[find(k)] = find(face[e ^ 1])
+        follows: dict[int, dict[int, int]] = {}
+        for e, k in face.items():
+            if e ^ 1 not in face or find(face[e ^ 1]) != find(k):
+                follows.setdefault(find(k), {})[org[e]] = org[e ^ 1]
+        out = []
+        for ring in follows.values():
+            cell = [next(iter(ring))]
+            while (at := ring[cell[-1]]) != cell[0]:
+                cell.append(at)
+            out.append(cell)
+        return out
 
 
 def triangulate(ids: np.ndarray, lon: np.ndarray, lat: np.ndarray) -> list[tuple[int, int, int]]:
-    """Delaunay triangles as sorted id triples.
+    """Delaunay triangles as sorted id triples, in n log n steps.
 
-    Cells grow edge by edge from the nearest neighbour of the first corner. Corners on one
-    circle form one cell, cut as a fan from its lowest id. Repeated corners count once.
+    Corners on one circle form one cell, cut as a fan from its lowest id. Repeated corners count
+    once.
     """
     order = np.argsort(ids, kind="stable")
     ids, pts = ids[order], np.column_stack([lon, lat])[order].astype(float)
@@ -118,19 +222,11 @@ def triangulate(ids: np.ndarray, lon: np.ndarray, lat: np.ndarray) -> list[tuple
     ids, pts = ids[first], pts[first] - pts[0]
     if len(ids) < 3:
         return []
-    nearest = 1 + int(np.argmin(((pts[1:] - pts[0]) ** 2).sum(axis=1)))
-    todo, done, out = [(0, nearest), (nearest, 0)], set(), []
-    while todo:
-        edge = todo.pop()
-        if edge in done:
-            continue
-        cell = _cell(pts, *edge)
-        if cell is None:
-            done.add(edge)
-            continue
-        ring = list(zip(cell, cell[1:] + cell[:1]))
-        done.update(ring)
-        todo.extend((q, p) for p, q in ring if (q, p) not in done)
+    # Points that differ may be equal once moved to the first one; the first of them stays.
+    _, place = np.unique(pts, axis=0, return_index=True)
+    out = []
+    for cell in _Mesh(pts[place]).cells():
+        cell = [int(place[k]) for k in cell]
         low = cell.index(min(cell))
         fan = cell[low:] + cell[:low]
         out += [(fan[0], p, q) for p, q in zip(fan[1:], fan[2:])]

@@ -117,3 +117,16 @@ def hull_area(points):
 
     h = half(pts) + half(pts[::-1])
     return sum(h[i - 1][0] * h[i][1] - h[i][0] * h[i - 1][1] for i in range(len(h))) / 2
+
+
+def test_many_corners_in_n_log_n():
+    rng = np.random.default_rng(5)
+    n = 20_000
+    lon, lat = rng.random(n), rng.random(n)
+    got = np.array(triangulate(np.arange(n), lon, lat))
+    edges = np.sort(np.vstack([got[:, [0, 1]], got[:, [1, 2]], got[:, [0, 2]]]), axis=1)
+    _, uses = np.unique(edges, axis=0, return_counts=True)
+    assert uses.max() == 2 and len(got) == 2 * n - 2 - (uses == 1).sum()
+    a, b, c = (np.column_stack([lon, lat])[got[:, k]] for k in range(3))
+    area = np.abs((b[:, 0] - a[:, 0]) * (c[:, 1] - a[:, 1]) - (b[:, 1] - a[:, 1]) * (c[:, 0] - a[:, 0])).sum() / 2
+    assert area == pytest.approx(hull_area(list(zip(lon, lat))))
