@@ -326,6 +326,21 @@ def _(spark, d):
     return standins.past_forecasts(spark, d).join(right, keys, "left").select(*keys, "lead_time", "total_bookings")
 
 
+@register("left_lookup_counts", O.with_views("""
+SELECT p.city_destination, p.lead_time, count(*) AS n_rows, count(f.city_destination) AS n_found,
+ CAST(sum(f.total_bookings) AS BIGINT) AS total_bookings
+FROM v_past_forecasts p LEFT JOIN v_forecast f ON f.city_destination = p.city_destination
+ AND f.observation_date = p.observation_date AND f.ride_date = p.delivery_date
+GROUP BY p.city_destination, p.lead_time"""))
+def _(spark, d):
+    right = standins.forecast(spark, d).withColumnRenamed("ride_date", "delivery_date").drop(PRED)
+    keys = ["city_destination", "observation_date", "delivery_date"]
+    joined = standins.past_forecasts(spark, d).join(right.withColumn("_found", F.lit(1)), keys, "left")
+    return joined.groupBy("city_destination", "lead_time").agg(
+        F.count("*").alias("n_rows"), F.count("_found").alias("n_found"), F.sum("total_bookings").alias("total_bookings")
+    )
+
+
 @register("computed_key_lookup", O.with_views("""
 SELECT p.city_destination, p.observation_date, p.delivery_date, d.ride_date, d.total_rides
 FROM v_past_forecasts p LEFT JOIN demand d ON d.city_destination = p.city_destination

@@ -234,3 +234,48 @@ def cut_rows(df: DataFrame, keys: Digits, cuts: Mapping[str, Sequence[Cut]]) ->
             text[name] = " + ".join([str(sum(c.values < values for c in found)), *inside])
         parts.append(numbered(rows, text))
     return reduce(DataFrame.unionByName, parts)
+
+
+#: Sampled rows per split point.
+SPLIT_SAMPLE = 20
+
+
+def sorts(df: DataFrame, columns: Sequence[str]) -> bool:
+    """True when the columns' types have digits."""
+    kinds = (
+        T.StringType, T.LongType, T.DateType, T.TimestampType, T.TimestampNTZType, T.FloatType, T.DoubleType,
+        T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.DecimalType,
+    )
+    return all(isinstance(c, str) and isinstance(df.schema[c].dataType, kinds) for c in columns)
+
+
+def split_points(df: DataFrame, keys: Digits, slices: int) -> list[tuple]:
+    """Digits that cut the order into about ``slices`` even parts, from one row of each of ``SPLIT_SAMPLE * slices``
+    buckets of a hash: a sample of that size at most, the same one whenever the rows are."""
+    digit = _digit_columns([*keys.order, *keys.content])
+    rows, mixed = df.select(*[c.alias(name) for name, c in digit.items()]), F.xxhash64(*digit)
+    wanted = SPLIT_SAMPLE * slices
+    picked = rows.groupBy(F.pmod(mixed, F.lit(wanted)).alias("_bucket")).agg(
+        F.min_by(F.struct(*digit), F.xxhash64(mixed)).alias("_row")
+    )
+    sample = sorted(tuple(r["_row"]) for r in picked.select("_row").collect())
+    return sorted({sample[len(sample) * k // slices] for k in range(1, slices)}) if sample else []
+
+
+def with_slice(df: DataFrame, keys: Digits, points: Sequence[tuple], out: str = "_slice") -> DataFrame:
+    """Add the number of split points that a row stands at or behind (int), found by halving, and its digits as ``_key``.
+
+    The points are part of the plan, so a row gets the same slice however often it is computed.
+    """
+    digit = _digit_columns([*keys.order, *keys.content])
+    shown = df.withColumn("_key", F.struct(*[c.alias(name) for name, c in digit.items()]))
+    if not points:
+        return shown.withColumn(out, F.lit(0))
+    kinds = [(f.name, f.dataType.simpleString()) for f in shown.schema["_key"].dataType.fields]
+    rows = (
+        ", ".join(f"'{name}', cast({_sql(v)} as {kind})" for (name, kind), v in zip(kinds, point)) for point in points
+    )
+    known = f"array({', '.join(f'named_struct({r})' for r in rows)})"
+    steps = ", ".join(str(1 << k) for k in reversed(range(len(points).bit_length())))
+    found = f"at + step <= {len(points)} and get({known}, at + step - 1) <= _key"
+    return shown.withColumn(out, F.expr(f"aggregate(array({steps}), 0, (at, step) -> if({found}, at + step, at))"))

@@ -2,7 +2,7 @@
 
 Each operator has two plans with equal results. The ``window`` plan is Spark's own window and
 brings one group into one task; ask for it where the keys bound a group by construction. The
-``ranged`` plan, used otherwise, sorts by range across the cluster and works on even slices, so
+``ranged`` plan, used otherwise, cuts the order into even slices across the cluster, so
 a group of any size is spread over many tasks. The data's size never chooses the plan. Both plans order ties by a hash of the rows' content, so they place every row alike.
 """
 
@@ -12,8 +12,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandspark.functions.scalars import whole_div
+from demandspark.operators import selection
 from demandspark.sources.scratch import materialize
 
 BLOCK_ROWS = 65_536
@@ -29,7 +31,11 @@ def ascending(keys: Sequence[Order]) -> list[Column]:
 
 def tie_breaker(df: DataFrame) -> Column:
     """Hash of a row's content: rows that it leaves tied are equal (up to collisions of 64 bits)."""
-    return F.xxhash64(*[f.name for f in df.schema if not f.dataType.simpleString().startswith(("map", "variant"))])
+    return F.xxhash64(*_hashable(df))
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if not f.dataType.simpleString().startswith(("map", "variant"))]
 
 
 def total_order(df: DataFrame, order_by: Sequence[Order]) -> list[Column]:
@@ -74,43 +80,26 @@ def in_slices(
     )
 
 
-def _numbered(
-    sliced: DataFrame, partition_by: Sequence[str], first_of: Sequence[str], out: str
-) -> DataFrame:
-    """Turn slice and place into a zero-based number per key.
-
-    ``runs`` has one row per key and slice. Without keys it is one row per slice and is fetched;
-    with keys its window sees at most one row per slice for a key.
-    """
-    firsts = [F.min_by(c, "_pos").alias(f"_first_{c}") for c in first_of]
+def _heads(sliced: DataFrame, partition_by: Sequence[str], first_of: Sequence[str]) -> list[tuple]:
+    """Per slice: (slice, first key, its rows in earlier slices, its first values). One row per slice is fetched."""
     runs = sliced.groupBy("_slice", *partition_by).agg(
-        F.count("*").alias("_count"), F.min("_pos").alias("_start"), *firsts
+        F.count("*").alias("_count"),
+        F.min("_key").alias("_low"),
+        *[F.min_by(c, "_key").alias(f"_first_{c}") for c in first_of],
     )
-    if not partition_by:
-        before, seen, first_row = [], 0, None
-        for row in runs.orderBy("_slice").toLocalIterator():
-            before.append((row["_slice"], seen))
-            seen += row["_count"]
-            first_row = first_row or row
-        # One row per slice, that is per write task.
-        starts = sliced.sparkSession.createDataFrame(before, "_slice bigint, _shift bigint")
-        numbered = sliced.join(F.broadcast(starts), "_slice").withColumn(
-            out, F.col("_pos") + F.col("_shift")
-        )
-        for c in first_of:
-            kept = None if first_row is None else first_row[f"_first_{c}"]
-            numbered = numbered.withColumn(f"_first_{c}", F.lit(kept).cast(sliced.schema[c].dataType))
-        return numbered.drop("_slice", "_pos", "_shift")
-    by_slice = Window.partitionBy(*partition_by).orderBy("_slice")
-    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumns(
-        {
-            "_shift": F.coalesce(F.sum("_count").over(earlier), F.lit(0)) - F.col("_start"),
-            **{f"_first_{c}": F.first(f"_first_{c}").over(by_slice) for c in first_of},
-        }
-    ).drop("_count", "_start")
-    joined = null_safe_join(sliced, runs, ["_slice", *partition_by], "inner")
-    return joined.withColumn(out, F.col("_pos") + F.col("_shift")).drop("_slice", "_pos", "_shift")
+    run = F.struct("_count", *partition_by, *[f"_first_{c}" for c in first_of])
+    ends = runs.groupBy("_slice").agg(F.min_by(run, "_low").alias("head"), F.max_by(run, "_low").alias("tail"))
+    out, key, seen, firsts = [], None, 0, ()
+    width = 1 + len(partition_by)
+    for number, head, tail in sorted((r["_slice"], tuple(r["head"]), tuple(r["tail"])) for r in ends.collect()):
+        if repr(head[1:width]) != key:  # by text, as NaN differs from itself
+            key, seen, firsts = repr(head[1:width]), 0, head[width:]
+        out.append((number, *head[1:width], seen, *firsts))
+        if repr(tail[1:width]) == key:
+            seen += tail[0]
+        else:
+            key, seen, firsts = repr(tail[1:width]), tail[0], tail[width:]
+    return out
 
 
 def ranged_index(
@@ -121,8 +110,44 @@ def ranged_index(
     first_of: Sequence[str] = (),
 ) -> DataFrame:
     """Zero-based row number by the ranged plan; ``first_of`` adds each group's first values
-    as ``_first_<column>``."""
-    return _numbered(in_slices(df, partition_by, order_by), partition_by, first_of, out)
+    as ``_first_<column>``.
+
+    Split points come from a bounded sample and are part of the plan; a second pass over the key
+    columns counts the slices; then rows are shuffled once, by slice, and numbered in it. Only the
+    first group of a slice can have begun in an earlier one, so one row per slice tells what to
+    add. Nothing is written: the frame has to give the same rows whenever it is computed (else
+    ``materialize`` it first).
+    """
+    keys = list(partition_by)
+    if not selection.sorts(df, [*keys, *order_by]):
+        raise ValueError("the ranged plan numbers rows by ascending columns of plain types")
+    found = selection.digits(df, [*keys, *order_by], _hashable(df))
+    slices = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = selection.with_slice(df, found, selection.split_points(df, found, slices))
+    firsts = [f"_first_{c}" for c in first_of]
+    fields = [
+        T.StructField("_slice", T.IntegerType()),
+        *[T.StructField(f"_h_{k}", df.schema[k].dataType) for k in keys],
+        T.StructField("_shift", T.LongType()),
+        *[T.StructField(f"_h{name}", df.schema[c].dataType) for name, c in zip(firsts, first_of)],
+    ]
+    heads = _heads(sliced, keys, first_of)
+    if keys:
+        heads = [h for h in heads if h[1 + len(keys)]]
+    w = Window.partitionBy("_slice", *keys).orderBy(*total_order(df, order_by))
+    numbered = sliced.drop("_key").withColumn(out, F.row_number().over(w).cast("bigint") - 1)
+    if keys:
+        numbered = numbered.withColumns({name: F.first(c).over(w) for name, c in zip(firsts, first_of)})
+    # One row per slice.
+    starts = F.broadcast(df.sparkSession.createDataFrame(heads, T.StructType(fields)).withColumnRenamed("_slice", "_s"))
+    on = [F.col("_slice") == F.col("_s"), *[F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]]
+    shifted = numbered.join(starts, on, "left")
+    begun = F.col("_s").isNotNull()
+    return shifted.select(
+        *df.columns,
+        (F.col(out) + F.coalesce("_shift", F.lit(0))).alias(out),
+        *[(F.when(begun, F.col(f"_h{n}")).otherwise(F.col(n)) if keys else F.col(f"_h{n}")).alias(n) for n in firsts],
+    )
 
 
 def seq_num(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from demandspark.operators import windows as W
 from demandspark.operators.smoothing import direct_limit, ema, ema_grid
+from demandspark.sources import scratch
 
 
 @pytest.fixture(autouse=True)
@@ -140,3 +141,38 @@ def test_direct_limit_keeps_powers_finite():
 def test_half_is_rounded_up_after_smoothing(spark):
     df = spark.createDataFrame([("a", 0, 1.0), ("a", 1, 2.0)], "k string, t int, v double")
     assert [r["e"] for r in ema(df, "v", 0.5, ["k"], ["t"], "e").orderBy("t").collect()] == [1.0, 2.0]
+
+
+def test_numbers_across_slices_without_a_written_copy(spark):
+    """One key holds a third of the rows, another is NULL; repeated rows are numbered too."""
+    key = "if(id % 3 = 0, 'hot', if(id % 3 = 1, null, concat('key number ', id % 200))) as k"
+    df = spark.range(30_000).unionAll(spark.range(3000)).selectExpr(key, "int(id % 977) as o", "double(id % 5) as x")
+    before = scratch.written()
+    ranged = W.ranged_index(df, ["o"], ["k"], "n", first_of=["x"])
+    assert scratch.written() == before
+    rows = ranged.collect()
+    assert len(rows) == 33_000
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r.k, []).append(r)
+    plain = {(r.k, r.n): (r.o, r.x) for r in W.seq_num(df, ["k"], ["o"], "n", strategy="window").collect()}
+    for k, group in by_key.items():
+        group.sort(key=lambda r: r.n)
+        assert [r.n for r in group] == list(range(len(group)))
+        assert all((r.o, r.x) == plain[k, r.n] for r in group)
+        assert {r._first_x for r in group} == {group[0].x}
+    whole = sorted(W.ranged_index(df, ["k", "o"], out="n").collect(), key=lambda r: r.n)
+    assert [r.n for r in whole] == list(range(33_000))
+    keys = [(r.k is None, r.k or "", r.o) for r in whole]
+    assert keys == sorted(keys)
+
+
+def test_order_of_odd_values(spark):
+    from decimal import Decimal
+
+    values = [None, float("nan"), float("inf"), -float("inf"), 0.0, -1.5, 1e300, 2.5]
+    rows = [(v, Decimal(i % 3) - Decimal("0.25"), i) for i, v in enumerate(values * 40)]
+    df = spark.createDataFrame(rows, "v double, d decimal(9,2), i int")
+    got = [r.i for r in W.ranged_index(df, ["v", "d", "i"], out="n").orderBy("n").collect()]
+    want = [r.i for r in df.orderBy(F.col("v").asc_nulls_last(), "d", "i").collect()]
+    assert got == want
