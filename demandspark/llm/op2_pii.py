@@ -4,8 +4,10 @@
 2. The words around an entity or around any other token that looks like an identifier form lexical
    patterns ("before _ after", "two before _"). Patterns and instances are a bipartite graph, one row
    per different edge, so a pattern seen a million times with one instance counts once.
-3. Rounds score both sides (after Snowball, Agichtein & Gravano 2000): a pattern by the share of its
-   instances that are trusted for a kind, an instance by 1 - prod(1 - score) over its trusted patterns.
+3. Rounds score both sides (after Snowball, Agichtein & Gravano 2000), per kind: a pattern by its trusted
+   instances against those that contradict it, i.e. are seeds of another kind; what isn't known yet counts
+   neither way, but at least ``SHARE`` of the kind's instances must be trusted, so that a context in which
+   numbers pass a check digit by chance finds nothing. An instance gets 1 - prod(1 - score) over its patterns.
 4. Tokens that end above ``TRUST`` and have the kind's shape are spans too, unless they overlap base spans.
 
 The scan's result is written once with a row number, so the texts are read once.
@@ -25,6 +27,8 @@ from demandspark.sources import scratch
 KINDS = ("email", "ip", "card", "phone")
 #: Rounds of scoring, least score of a trusted pattern or instance, least different seeds of a pattern.
 ROUNDS, TRUST, SUPPORT = 3, 0.9, 3
+#: Least share of trusted ones among a pattern's instances of a kind.
+SHARE = 0.5
 #: Characters on either side that are looked at for context words.
 CONTEXT = 64
 
@@ -49,7 +53,7 @@ _VALID = {
     "card": f"length({_DIGITS}) between 13 and 19 and transform(array({_DIGITS}), d -> {_LUHN.format(d='d')})[0]",
     "phone": f"length({_DIGITS}) between 9 and 15",
 }
-_TOKEN = r"(?<![A-Za-z0-9._%+@-])(?=[A-Za-z._%+-]*+[0-9@])[A-Za-z0-9._%+@-]{6,64}+(?![A-Za-z0-9._%+@-])"
+_TOKEN = r"(?<![A-Za-z0-9._%+@-])(?=[A-Za-z._%+-]*+[0-9@])[A-Za-z0-9._%+@-]{6,}+(?![A-Za-z0-9._%+@-])"
 #: What an unseen identifier of a kind must look like.
 _SHAPE = (
     "case when h rlike r'^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+$' then 0 when h rlike r'^[0-9]+(\\.[0-9]+){2,5}$' then 1 "
@@ -102,13 +106,19 @@ def edges(scanned: DataFrame) -> DataFrame:
 
 def trusted(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(kind, value) that no fixed pattern matches and that trusted contexts vouch for."""
+    of_value = graph.where("seed").groupBy("value").agg(F.min("kind").alias("low"), F.max("kind").alias("high"))
+    graph = graph.join(of_value, "value", "left").withColumn(
+        "wrong", F.expr("not seed and coalesce(low != kind or high != kind, false)").cast("int")
+    ).drop("low", "high")
     graph = scratch.materialize(graph, "pattern-graph")
     score = graph.groupBy("kind", "value").agg(F.max(F.col("seed").cast("double")).alias("score"))
     for _ in range(rounds):
-        known = graph.join(score, ["kind", "value"])
-        sums = known.groupBy("pattern", "kind").agg(F.sum("score").alias("mass"), F.sum(F.col("seed").cast("int")).alias("seeds"))
-        sizes = graph.groupBy("pattern").agg(F.count("*").alias("size"))
-        good = sums.where(f"seeds >= {SUPPORT}").join(sizes, "pattern").withColumn("trust", F.expr("mass / size")).where(f"trust >= {TRUST}")
+        sums = graph.join(score, ["kind", "value"]).groupBy("pattern", "kind").agg(
+            F.sum("score").alias("mass"), F.sum(F.col("seed").cast("int")).alias("seeds"),
+            F.sum("wrong").alias("wrong"), F.count("*").alias("size"),
+        )
+        good = sums.where(f"seeds >= {SUPPORT} and mass >= {SHARE} * size").withColumn("trust", F.expr("mass / (mass + wrong)"))
+        good = good.where(f"trust >= {TRUST}")
         reached = graph.join(good.select("pattern", "kind", "trust"), ["pattern", "kind"])
         reached = reached.groupBy("kind", "value").agg(
             F.max("seed").alias("seed"), F.expr("1 - exp(sum(ln(greatest(1 - trust, 1e-12))))").alias("score")

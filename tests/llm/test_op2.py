@@ -78,3 +78,20 @@ def test_contexts_discover_unseen_identifiers(spark):
     clean = {r.doc_id: r for r in op.redacted(frame).collect()}
     assert clean[3].text == "reach me: [EMAIL] today, said 3 people" and clean[3].n_chars == len(clean[3].text)
     assert clean[100].text == "reach me: [EMAIL] today, said he" and clean[102].text == rows[-1][1] and clean[100].extra == "x"
+
+
+def test_contexts_with_many_unseen_identifiers(spark):
+    rows, unseen = [], set()
+    for n in (1, 5, 10, 40):
+        rows += [(1000 * n + k, f"mail of{n} user{k}x{n}@site{k}.org wrote") for k in range(40)]
+        rows += [(1000 * n + 100 + k, f"mail of{n} some{k}x{n}@intranet wrote") for k in range(n)]
+        unseen |= {1000 * n + 100 + k for k in range(n)}
+    long = "a" * 80 + "@intranet"
+    rows += [(90_000, f"mail of5 {long} wrote")]
+    # One number in ten passes the check digit by chance, so the context says nothing of cards.
+    rows += [(91_000 + k, f"order {4000000000000000 + 7 * k} came") for k in range(60)]
+    found = op.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.doc_id: r for r in found}
+    assert all(got[d].spans.startswith("email:") and got[d].n_email == 0 for d in unseen | {90_000})
+    orders = [got[91_000 + k] for k in range(60)]
+    assert sum(r.n_card for r in orders) >= 3 and all(r.n_card or not r.spans for r in orders)
