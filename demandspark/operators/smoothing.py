@@ -28,8 +28,9 @@ from demandspark.operators.windows import (
 from demandspark.sources.scratch import materialize
 
 _MAX_BITS = 900  # b^n stays clear of the largest double (2^1024)
-_ZERO_BITS = 1100  # a^n is exactly 0.0 in a double beyond this
+_BLOCK_BITS = 256  # powers inside a block stay below 2^256, so values up to 2^700 fit as well
 _MAX_BLOCK = 4096
+_FAN = 256
 
 
 def _bits(alpha: float) -> float:
@@ -43,10 +44,6 @@ def direct_limit(alphas: Sequence[float]) -> int:
     return int(_MAX_BITS / max(map(_bits, alphas)))
 
 
-def _not_finite(x: Column) -> Column:
-    return F.isnan(x) | (F.abs(x) == F.lit(math.inf))
-
-
 def ema_grid(
     df: DataFrame,
     outputs: Mapping[str, tuple[str, float]],
@@ -105,17 +102,15 @@ def _direct(df, outputs, partition_by, order_by, finish):
 
 
 def _blocked(df, outputs, partition_by, order_by, finish, block=None):
-    """Closed form inside short blocks, plus what earlier blocks still contribute.
+    """Closed form inside short blocks; what comes into a block is a scan of affine maps.
 
-    An earlier block's end value is damped by a^block per block in between. Only as many
-    blocks back are added as have a weight above 0.0, so nothing is cut off. Values that are
-    not finite have no weight to fade: the first blocks that hold them are kept per key and
-    mark all blocks behind.
+    A full block turns the value e that comes in into f * e + c, with f the factor's power and c
+    the block's own end value. Maps compose, so blocks of blocks are maps too, and the scan
+    goes over as many levels as the longest series needs.
     """
     keys = list(partition_by)
     bits = {a: _bits(a) for _, a in outputs.values()}
-    block = max(1, min(block or _MAX_BLOCK, int(_MAX_BITS / max(bits.values()))))
-    reach = int(_ZERO_BITS / (block * min(bits.values()))) + 2
+    block = max(1, min(block or _MAX_BLOCK, int(_BLOCK_BITS / max(bits.values()))))
     values = list(dict.fromkeys(v for v, _ in outputs.values()))
 
     # The first value counts twice: once as x_0 and once as the start of the recurrence.
@@ -130,53 +125,15 @@ def _blocked(df, outputs, partition_by, order_by, finish, block=None):
             },
         }
     )
-
-    def weighted(value: str, alpha: float) -> Column:
-        return F.pow(F.lit(1.0 / alpha), F.col("_r")) * F.col(f"_x_{value}")
-
-    def finite(value: str, part: Column) -> Column:
-        return F.when(~_not_finite(F.col(f"_x_{value}")), part)
-
-    kinds = {"nan": F.isnan, "pos": lambda x: x == F.lit(math.inf), "neg": lambda x: x == F.lit(-math.inf)}
-    firsts = {
-        f"_{kind}_{v}": F.min(F.when(is_kind(F.col(f"_x_{v}")), F.col("_blk")))
-        for v in values
-        for kind, is_kind in kinds.items()
-    }
+    names = {out: f"_e{i}" for i, out in enumerate(outputs)}
     ends = numbered.groupBy(*keys, "_blk").agg(
-        F.count("*").alias("_m"),
-        *[F.sum(finite(v, weighted(v, a))).alias(f"_end_{out}") for out, (v, a) in outputs.items()],
-        *[c.alias(name) for name, c in firsts.items()],
-    )
-    ends = materialize(ends, "block-ends")  # read three times; one row per block
-    spoilt = ends.filter(" OR ".join(f"`{name}` IS NOT NULL" for name in firsts))
-    spoilt = spoilt.groupBy(*keys).agg(*[F.min(name).alias(name) for name in firsts])
-
-    def mark(value: str) -> Column:
-        """What stays of earlier values that are not finite."""
-        nan, pos, neg = (F.coalesce(F.col(f"_{k}_{value}") < F.col("_blk"), F.lit(False)) for k in kinds)
-        return (
-            F.when(nan | (pos & neg), F.lit(math.nan)).when(pos, F.lit(math.inf)).when(neg, F.lit(-math.inf))
-        )
-
-    marked = null_safe_join(ends.select(*keys, "_blk"), spoilt, keys, "inner").select(
-        *keys, "_blk", *[mark(v).alias(f"_end_{out}") for out, (v, _) in outputs.items()]
-    )
-    damped = {
-        f"_end_{out}": F.col(f"_end_{out}")
-        / F.pow(F.lit(1.0 / a), F.col("_m"))
-        * F.pow(F.lit(a), F.lit(block) * (F.col("_back") - 1))
-        for out, (_, a) in outputs.items()
-    }
-    carried = (
-        ends.withColumn("_back", F.explode(F.sequence(F.lit(1), F.lit(reach))))
-        .withColumns(damped)
-        .withColumn("_blk", F.col("_blk") + F.col("_back"))
-        .select(*keys, "_blk", *damped)
-        .unionByName(marked)
-        .groupBy(*keys, "_blk")
-        .agg(*[F.sum(f"_end_{out}").alias(f"_in_{out}") for out in outputs])
+        *[
+            F.coalesce(F.sum(F.pow(F.lit(a), F.lit(block) - F.col("_r")) * F.col(f"_x_{v}")), F.lit(0.0)).alias(names[out])
+            for out, (v, a) in outputs.items()
+        ]
     )
+    ends = materialize(ends, "block-ends")  # one row per block
+    incoming = affine_scan(ends, keys, "_blk", {names[out]: a**block for out, (_, a) in outputs.items()})
     # What comes in joins its block as one more row, ahead of the others, so the rows are
     # shuffled once and NULL keys need no care.
     block_rows = Window.partitionBy(*keys, "_blk")
@@ -184,18 +141,68 @@ def _blocked(df, outputs, partition_by, order_by, finish, block=None):
         Window.unboundedPreceding, 0
     )
     local = {
-        f"_local_{out}": F.sum(weighted(v, a)).over(within) / F.pow(F.lit(1.0 / a), F.col("_r") + 1)
-        for out, (v, a) in outputs.items()
+        f"_local{name}": F.sum(F.pow(F.lit(1.0 / outputs[out][1]), F.col("_r")) * F.col(f"_x_{outputs[out][0]}")).over(within)
+        / F.pow(F.lit(1.0 / outputs[out][1]), F.col("_r") + 1)
+        for out, name in names.items()
     }
-    incoming = {f"_in_{out}": F.max(f"_in_{out}").over(within) for out in outputs}
+    came = {name: F.max(name).over(within) for name in names.values()}
     joined = (
-        numbered.unionByName(carried, allowMissingColumns=True)
-        .withColumns({**local, **incoming})
+        numbered.unionByName(incoming, allowMissingColumns=True)
+        .withColumns({**local, **came})
         .filter(F.col("_seq").isNotNull())
     )
     smoothed = {}
     for out, (v, a) in outputs.items():
-        carry = F.coalesce(F.col(f"_in_{out}"), F.lit(0.0)) * F.pow(F.lit(a), F.col("_r") + 1)
-        total = F.coalesce(F.col(f"_local_{out}"), F.lit(0.0)) + carry
+        carry = F.col(names[out]) * F.pow(F.lit(a), F.col("_r") + 1)
+        total = F.coalesce(F.col(f"_local{names[out]}"), F.lit(0.0)) + F.coalesce(carry, F.lit(0.0))
         smoothed[out] = F.when(F.col(f"_first_{v}").isNotNull(), finish(total))
     return joined.withColumns(smoothed).select(*df.columns, *outputs)
+
+
+def affine_scan(ends: DataFrame, keys: Sequence[str], at: str, factors: Mapping[str, float]) -> DataFrame:
+    """What comes into each step of e -> factor * e + c, starting from 0.0.
+
+    ``ends`` holds, per key, the steps 0, 1, 2, ... in column ``at`` and their c in the columns
+    that ``factors`` names; the same columns of the result hold what comes in. ``_FAN`` steps
+    are folded in one array and are one step of the next level. Values that are not finite
+    don't fade. The number of levels follows from the longest series, asked for once.
+    """
+    longest = ends.agg(F.max(at)).first()[0] or 0
+    return _scan_level(ends, list(keys), at, dict(factors), longest + 1)
+
+
+def _damped(value: str, factor: str) -> str:
+    return f"if(isnan({value}) or abs({value}) = double('inf'), {value}, {value} * {factor})"
+
+
+def _scan_level(ends, keys, at, factors, steps):
+    group = f"_g{at}"
+    folded = {
+        name: F.expr(
+            f"aggregate(_steps, named_struct('e', 0D, 'before', cast(array() as array<double>)), (s, x) -> named_struct("
+            f"'e', x.`{name}` + {_damped('s.e', _double(f))}, 'before', concat(s.before, array(s.e))))"
+        )
+        for name, f in factors.items()
+    }
+    groups = (
+        ends.withColumn(group, whole_div(at, _FAN))
+        .groupBy(*keys, group)
+        .agg(F.sort_array(F.collect_list(F.struct(at, *factors))).alias("_steps"))  # at most _FAN
+        .withColumns(folded)
+    )
+    if steps > _FAN:
+        above = groups.select(*keys, group, *[F.col(f"{name}.e").alias(name) for name in factors])
+        above = _scan_level(above, keys, group, {name: f**_FAN for name, f in factors.items()}, -(-steps // _FAN))
+        above = above.withColumnsRenamed({**{name: f"_up{name}" for name in factors}, group: "_group"})
+        groups = null_safe_join(groups.withColumn("_group", F.col(group)), above, [*keys, "_group"], "left")
+    else:
+        groups = groups.withColumns({f"_up{name}": F.lit(0.0) for name in factors})
+    fields = ", ".join(
+        f"'{name}', `{name}`.before[i] + {_damped(f'`_up{name}`', f'pow({_double(f)}, i)')}" for name, f in factors.items()
+    )
+    rows = F.expr(f"transform(_steps, (x, i) -> named_struct('{at}', x.`{at}`, {fields}))")
+    return groups.select(*keys, F.explode(rows).alias("_row")).select(*keys, "_row.*")
+
+
+def _double(value: float) -> str:
+    return f"double('{value!r}')"

@@ -67,6 +67,7 @@ def hourly_training_set(
         "next_cancelation_lead_time",
         "cancelation_lead_time",
         ["total_cancelations_rs"],
+        strategy="window",  # one forecast and one band per lead of a city's hour
     )
     return banded.select(
         forecast_id("city_destination", "booked_start_at_local", "lead_time").alias("forecast_id"),

@@ -41,6 +41,30 @@ def test_interval_join_edges(spark):
         -2: None, -1: 10, 0: 10, 2: 20, 3: 20, 5: None, 6: None}
 
 
+def test_bands_of_a_hot_key_reach_across_slices(spark):
+    """One key holds most points and one band of another covers many slices; rows repeat and keys are NULL."""
+    key = "if(id % 3 > 0, 'hot', if(id % 9 = 0, null, concat('k', id % 5)))"
+    points = spark.range(9000).selectExpr(f"{key} as k", "int(id * 7919 % 5000) as p", "id % 2 as hi").unionAll(
+        spark.range(3).selectExpr("'hot' as k", "cast(null as int) as p", "1L as hi"))
+    bands = spark.range(0, 5000, 1250).selectExpr("'hot' as k", "int(id) as lo", "int(id + 1000) as up", "id as v").unionAll(
+        spark.createDataFrame([("k1", -1, 4999, 7), ("k2", 10, 10, 8), (None, 0, 9999, 9)], "k string, lo int, up int, v long"))
+    held = [tuple(r) for r in bands.collect()]
+    want = []
+    for k, p, hi in points.collect():
+        found = [v for b, lo, up, v in held if None not in (k, p) and b == k and lo < p <= up]
+        want.append((k, p, hi, found[0] if found else None))
+    for strategy in ("ranged", "window"):
+        got = interval_join(points, bands, ["k"], "p", "lo", "up", ["v"], strategy=strategy)
+        assert got.columns == ["k", "p", "hi", "v"]
+        assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
+    plan = interval_join(points, bands, ["k"], "p", "lo", "up", ["v"])._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any("<" in line.split("BuildRight")[-1] or ">" in line.split("BuildRight")[-1] for line in joins)
+    for empty in (interval_join(points.where("false"), bands, ["k"], "p", "lo", "up", ["v"]),):
+        assert empty.count() == 0
+    assert interval_join(points, bands.where("false"), ["k"], "p", "lo", "up", ["v"]).where("v is not null").count() == 0
+
+
 def test_window_expand_equals_range_join(spark):
     days = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
     rows = spark.createDataFrame([(d,) for d in days], "d date")

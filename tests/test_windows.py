@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from demandspark.operators import windows as W
+from demandspark.operators import smoothing
 from demandspark.operators.smoothing import direct_limit, ema, ema_grid
 from demandspark.sources import scratch
 
@@ -132,6 +133,32 @@ def test_direct_and_block_smoothing_agree(skewed):
     assert rows_of(a, "k", "t", "e3", "e7") == rows_of(b, "k", "t", "e3", "e7")
 
 
+def test_far_apart_factors_share_blocks(spark, monkeypatch):
+    """Blocks are as short as the quick factor needs, and the slow one still reaches over all of them."""
+    monkeypatch.setattr(smoothing, "_FAN", 4)
+    values = [float(i * 31 % 17) for i in range(6000)]
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)] + [(None, 0, 3.0), (None, 1, 1e200)], "k string, t int, v double")
+    outputs = {f"e{round(a * 1000)}": ("v", a) for a in (0.001, 0.5, 0.999)}
+    rows = ema_grid(df, outputs, ["k"], ["t"], rounded=False).collect()
+    for out, (_, a) in outputs.items():
+        got = {(r["k"], r["t"]): r[out] for r in rows}
+        assert [got["a", i] for i in range(6000)] == pytest.approx(recurrence(values, a), rel=1e-11)
+        assert got[None, 1] == pytest.approx(a * 1e200 + a * a * 6.0)
+
+
+def test_affine_scan_over_levels(spark, monkeypatch):
+    monkeypatch.setattr(smoothing, "_FAN", 3)
+    c = [float(i % 5) for i in range(100)]
+    c[70] = float("inf")
+    df = spark.createDataFrame([("x", i, v) for i, v in enumerate(c)] + [(None, 0, 9.0)], "k string, n int, c double")
+    got = {(r.k, r.n): r.c for r in smoothing.affine_scan(df, ["k"], "n", {"c": 1e-20}).collect()}
+    e = 0.0
+    for i, v in enumerate(c):
+        assert got["x", i] == pytest.approx(e, rel=1e-12)
+        e = 1e-20 * e + v
+    assert got[None, 0] == 0.0 and len(got) == 101
+
+
 def test_direct_limit_keeps_powers_finite():
     assert (1 / 0.3) ** (direct_limit([0.3, 0.7]) + 1) < 1e300
     with pytest.raises(ValueError):
