@@ -1,6 +1,6 @@
 """Sharding along a Hilbert curve, in DataFrame operations only.
 
-Metadata dimensions become numbers in their own order, are quantised at equal-depth bounds, and the
+Metadata dimensions are quantised at equal-depth bounds, strings by their ranks as a whole, and the
 cell's index on the Hilbert curve (Skilling 2004) orders the rows. A range shuffle sorts them over
 all tasks; places are written once, so a lost executor can't move a row; one count per partition
 turns places into positions, and cutting the positions into equal runs gives the shards. Each run
@@ -27,24 +27,48 @@ from demandspark.sources import scratch
 BITS = 5
 
 
-def ordered_number(df: DataFrame, name: str) -> Column:
-    """The column as a number in the same order: a string by its first seven bytes."""
-    if df.schema[name].dataType.typeName() == "string":
-        head = F.rpad(F.hex(F.substring(F.encode(name, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return F.col(name).cast("double")
+def string_cuts(df: DataFrame, name: str, bits: int = BITS) -> list[str]:
+    """The least string of every cell but the first, at most 2^bits - 1 of them, cells holding as equal counts as values allow.
+
+    The different strings, whole, are sorted by range over the cluster with their counts, and rows before a string give its cell.
+    """
+    spark = df.sparkSession
+    values = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = values.repartitionByRange(parts, "value").sortWithinPartitions("value")
+    values, path = scratch.stored(values.withColumn("part", F.spark_partition_id()), "string-values")
+    sums = values.groupBy("part").agg(F.sum("n").alias("sum")).sort("part").collect()  # one row per partition of the sort
+    total, seen, before = sum(r["sum"] for r in sums), 0, {}
+    for r in sums:
+        before[r["part"]] = seen
+        seen += r["sum"]
+    if not total:
+        scratch.delete(spark, path)
+        return []
+    starts = F.broadcast(spark.createDataFrame(list(before.items()), "part int, before long"))
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    rank = F.col("before") + F.col("upto") - F.col("n")
+    cells = values.withColumn("upto", upto).join(starts, "part").select("value", (rank * 2**bits / F.lit(total)).cast("int").alias("cell"))
+    found = cells.groupBy("cell").agg(F.min("value").alias("value")).sort("cell").collect()  # at most 2^bits rows
+    scratch.delete(spark, path)
+    return [r["value"] for r in found[1:]]
 
 
 def quantised(df: DataFrame, dimensions: Sequence[str], bits: int = BITS) -> DataFrame:
     """Adds ``cell``: per dimension the number of bounds below the value; nulls count as lowest."""
     shares = [i / 2**bits for i in range(1, 2**bits)]
-    numbers = df.select(*(ordered_number(df, d).alias(d) for d in dimensions))
-    bounds = numbers.agg(*(F.percentile_approx(d, shares).alias(d) for d in dimensions)).first()  # 2^bits - 1 each
+    texts = [d for d in dimensions if df.schema[d].dataType.typeName() == "string"]
+    numbers = [d for d in dimensions if d not in texts]
+    aggregates = [F.percentile_approx(F.col(d).cast("double"), shares).alias(d) for d in numbers]
+    bounds = df.agg(*aggregates).first() if numbers else {}  # 2^bits - 1 each
+    cuts = {d: string_cuts(df.select(d), d, bits) for d in texts}
 
     def place(d: str) -> Column:
-        value = F.coalesce(ordered_number(df, d), F.lit(float("-inf")))
-        cuts = F.array(*(F.lit(float(b)) for b in sorted(set(bounds[d] or [0.0]))))
-        return F.size(F.filter(cuts, lambda b: b < value))
+        if d in texts:
+            return F.size(F.filter(F.array(*map(F.lit, cuts[d])), lambda b: b <= F.col(d))) if cuts[d] else F.lit(0)
+        value = F.coalesce(F.col(d).cast("double"), F.lit(float("-inf")))
+        known = F.array(*(F.lit(float(b)) for b in sorted(set(bounds[d] or [0.0]))))
+        return F.size(F.filter(known, lambda b: b < value))
 
     return df.withColumn("cell", F.array(*(place(d) for d in dimensions)))
 

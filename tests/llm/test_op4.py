@@ -58,3 +58,16 @@ def test_written_shards_prune(spark, folder, tmp_path):
     op.write_shards(op.document_shards(docs, 4), str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == docs.count() and back.select("shard").distinct().count() == 4
+
+
+def test_strings_with_a_shared_beginning_are_told_apart(spark):
+    """Ranks are those of whole strings; a hot value, long ones, nulls and empty ones get cells in their order."""
+    key = "case when id % 3 = 0 then 'https://www.example.org/hot' when id % 50 = 1 then null when id % 50 = 4 then '' else concat('https://www.example.org/', lpad(id % 700, 4, '0'), repeat('x', 300)) end"
+    df = spark.range(6000).selectExpr("id", f"{key} as source", "'same' as lang")
+    rows = op.quantised(df, ["source", "lang"]).collect()
+    order = sorted({r.source for r in rows if r.source is not None})
+    cells = [{r.cell[0] for r in rows if r.source == value} for value in order]
+    assert all(len(c) == 1 for c in cells) and cells == sorted(cells, key=min)
+    assert len(set.union(*cells)) > 15 and {r.cell[1] for r in rows} == {0}
+    assert {r.cell[0] for r in rows if r.source is None} == {0}
+    assert {len(r.cell) for r in op.quantised(df.where("source is null"), ["source"]).collect()} == {1}
