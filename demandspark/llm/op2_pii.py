@@ -29,8 +29,9 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS, TRUST, SUPPORT = 3, 0.9, 3
 #: Least share of trusted ones among a pattern's instances of a kind.
 SHARE = 0.5
-#: Characters on either side that are looked at for context words.
-CONTEXT = 64
+#: The two words before a span, read backwards from it, and the word behind it, of any length; linear, as no part gives back.
+_BEFORE = r"reverse(regexp_extract(reverse({}), '^\\s*+(\\S++(?:\\s++\\S++)?+)', 1))"
+_AFTER = r"regexp_extract({}, '^\\s*+(\\S++)', 1)"
 
 # The fixed patterns, written so that long runs take linear time: repetitions are possessive where what follows
 # can't begin inside them, and a match begins at the start of its run or right after the match before (\G).
@@ -71,7 +72,7 @@ def _found(pattern: str, kind: str, valid: str) -> str:
         "(s, m) -> struct(s.at + length(m.b) + length(m.h) as at, "
         f"transform(array(m.h), h -> if({valid}, concat(s.found, array(struct({kind} as kind, s.at + length(m.b) as start, "
         "s.at + length(m.b) + length(m.h) as end, h as value, "
-        f"right(m.b, {CONTEXT}) as before, left(m.a, {CONTEXT}) as after))), s.found))[0] as found), s -> s.found))[0]"
+        f"{_BEFORE.format('m.b')} as before, {_AFTER.format('m.a')} as after))), s.found))[0] as found), s -> s.found))[0]"
     )
 
 

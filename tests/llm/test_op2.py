@@ -95,3 +95,14 @@ def test_contexts_with_many_unseen_identifiers(spark):
     assert all(got[d].spans.startswith("email:") and got[d].n_email == 0 for d in unseen | {90_000})
     orders = [got[91_000 + k] for k in range(60)]
     assert sum(r.n_card for r in orders) >= 3 and all(r.n_card or not r.spans for r in orders)
+
+
+def test_context_words_of_any_length(spark):
+    """Words beside a span are whole however long they, the white space or the text before them are."""
+    long, gap = "x" * 5000, " " * 300
+    text = f"{'filler words ' * 20_000}first {long}{gap}a@b.cd{gap}{long[::-1]} end, then one@two.de"
+    frame = spark.createDataFrame([(1, text), (2, "a@b.cd")], "doc_id long, text string")
+    rows = {r.doc_id: r.base for r in op.scan(frame, "doc_id").collect()}
+    near = [(" ".join(x.before.split()), x.after) for x in rows[1]]
+    assert near == [(f"first {long}", long), ("end, then", "")]
+    assert [(x.before, x.after) for x in rows[2]] == [("", "")]
