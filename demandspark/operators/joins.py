@@ -53,12 +53,13 @@ def interval_join(
     begin, end = F.col(lo) - offset, F.col(hi) - offset
     row, band = F.struct(*df.columns), F.struct(end.alias("_hi"), *take)
     known = [F.col(k).isNotNull() for k in on]
-    starts = bands.filter(reduce(Column.__and__, known, begin < end)).select(
+    # Bands that match nothing stay in the list without a band: a filter below the union can fail in Spark's optimizer.
+    starts = bands.select(
         *[F.col(k).alias(name) for k, name in zip(on, keys)],
         begin.alias("_at"),
         F.lit(1).alias("_tag"),  # a point at a band's start still belongs to the band before
         F.lit(0).cast("long").alias("_tie"),
-        band.alias("_band"),
+        F.when(reduce(Column.__and__, known, begin < end), band).alias("_band"),
     )
     points = df.select(
         *[F.col(k).alias(name) for k, name in zip(on, keys)],
@@ -87,7 +88,7 @@ def _band_in_slices(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     slices = 2 * int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = selection.with_slice(events, found, selection.split_points(events, found, slices))
     runs = sliced.groupBy("_slice", *keys).agg(
-        F.min("_key").alias("_low"), F.max_by("_band", F.when(F.col("_tag") == 1, F.col("_key"))).alias("_last")
+        F.min("_key").alias("_low"), F.max_by("_band", F.when(F.col("_band").isNotNull(), F.col("_key"))).alias("_last")
     )
     ends = runs.groupBy("_slice").agg(
         F.min_by(F.struct(*keys), "_low").alias("head"), F.max_by(F.struct(*keys, "_last"), "_low").alias("tail")
